@@ -47,17 +47,24 @@ def tokenize(content: Column) -> Column:
     return F.regexp_extract_all(F.lower(content), F.lit(WORD_PATTERN), F.lit(0))
 
 
-def ngrams(words: Column, longest: int) -> Column:
-    """All runs of 1 to ``longest`` words, joined by a space."""
-    runs = [words]
-    for n in range(2, longest + 1):
-        starts = F.when(
-            F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - F.lit(n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        runs.append(
-            F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " "))
-        )
-    return F.concat(*runs) if len(runs) > 1 else words
+def ngrams(words: str, longest: int) -> Column:
+    """All runs of 1 to ``longest`` words of a column of words, joined by a space.
+
+    Takes a column name: an expression would be worked out again for every word.
+    """
+    column = F.col(words)
+
+    def runs_of(n: int) -> Column:
+        def run(word, start):
+            rest = (F.get(column, start + F.lit(k)) for k in range(1, n))
+            return F.concat_ws(" ", word, *rest)
+
+        whole = F.greatest(F.size(column) - F.lit(n - 1), F.lit(0))
+        return F.slice(F.transform(column, run), F.lit(1), whole)
+
+    if longest == 1:
+        return column
+    return F.concat(column, *(runs_of(n) for n in range(2, longest + 1)))
 
 
 def url_parameter(url: Column, name: str = "id", default: str = "unknown") -> Column:
