@@ -7,9 +7,11 @@ gets a folder of its own.
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -36,3 +38,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def send_with_tasks(module: str) -> None:
+    """Send a module's functions along with the tasks, so executors need no install."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
