@@ -14,7 +14,7 @@ from echoloom.operators import evaluate, features, runs, split, train
 from echoloom.plans import ml
 from echoloom.registry.core import LABELLED, REVIEWS, query, words
 from echoloom.sources import fixtures
-from echoloom.workspace import scratch_path
+from echoloom.workspace import materialize, scratch_path
 
 # A grid small enough for a check: one variant per family.
 SMALL_GRID = {
@@ -24,6 +24,12 @@ SMALL_GRID = {
 }
 
 
+def _split_gold(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows, split once and stored."""
+    marked = materialize(split.mark_split(_gold(spark, sf_dir)), "split")
+    return marked.filter(~F.col("is_test")), marked.filter("is_test")
+
+
 def _gold(spark, sf_dir) -> DataFrame:
     return fixtures.reviews_with_sentiment(spark, sf_dir).select(
         "review_id", "app_id", clean_text(F.col("content")).alias("content"), "sentiment"
@@ -246,7 +252,7 @@ def _trained(name: str, family: str, **params) -> None:
 
     @query(name)
     def _(spark, sf_dir):
-        training, test = split.stratified_split(_gold(spark, sf_dir))
+        training, test = _split_gold(spark, sf_dir)
         model = train.train_one(training, family, **params)
         return evaluate.eval_metrics(train.predict_batch(model, test)).withColumn(
             "model", F.lit(family)
@@ -262,7 +268,7 @@ _trained("train_xgb", "DeepBoosting", n_estimators=5)
 
 @query("grid_search")
 def grid_search(spark, sf_dir):
-    training, test = split.stratified_split(_gold(spark, sf_dir))
+    training, test = _split_gold(spark, sf_dir)
     found = train.grid_search(training, test, SMALL_GRID)
     return spark.createDataFrame(
         [(t.run["model"], t.run["f1_weighted"], t.run["accuracy"]) for t in found],
@@ -271,9 +277,9 @@ def grid_search(spark, sf_dir):
 
 
 def _scored(spark, sf_dir):
-    gold = _gold(spark, sf_dir)
-    training, test = split.stratified_split(gold)
-    return train.train_one(training, "LogisticRegression", C=1.0, max_iter=100), test, gold
+    training, test = _split_gold(spark, sf_dir)
+    model = train.train_one(training, "LogisticRegression", C=1.0, max_iter=100)
+    return model, test, _gold(spark, sf_dir)
 
 
 @query("predict_batch")
