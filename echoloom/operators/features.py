@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from echoloom.constants import MAX_TERMS
 from echoloom.functions.text import WORD_PATTERN, ngrams, tokenize
-from echoloom.operators.keyed import lookup_join
+from echoloom.operators.keyed import counted_lookup_join
 
 
 def with_grams(reviews: DataFrame, content: str, longest: int) -> DataFrame:
@@ -112,16 +112,20 @@ def tfidf_terms(
     counts = (
         with_grams(documents, content, longest)
         .select(key, F.explode("grams").alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    frequencies = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    documents_with = F.count(F.lit(1))
+    frequencies = counts.groupBy("term").agg(
+        documents_with.alias("df"), documents_with.alias("_rows")
+    )
     n = documents.agg(F.count(F.lit(1))).scalar()
     raw = F.col("tf") * (F.ln((1.0 + n) / (1.0 + F.col("df"))) + 1.0)
     # A document's terms are bounded by its own text, so its window is too.
     length = F.sqrt(F.sum(F.pow("_raw", F.lit(2.0))).over(Window.partitionBy(key)))
     return (
-        lookup_join(counts, frequencies, ["term"], [key], how="inner")
+        counted_lookup_join(counts, frequencies, ["term"], [key], "_rows", how="inner")
         .withColumn("_raw", raw)
         .withColumn("weight", F.col("_raw") / length)
         .drop("_raw")

@@ -76,15 +76,25 @@ def label_counts(encoded: DataFrame, by: Keys = (), label: str = "label") -> Dat
 # --- topics ------------------------------------------------------------------
 
 
+def _per_topic(cube: DataFrame, by: Keys, **measures: Column) -> DataFrame:
+    """Measures per topic; ``_named`` tells real topics from the null one.
+
+    Conditions sit in the measures and in ``_named`` rather than in filters,
+    which Spark would push below the cube and so compute it once per condition.
+    """
+    return cube.groupBy(*by, "topic").agg(
+        F.count("topic").alias("_named"), *(m.alias(name) for name, m in measures.items())
+    )
+
+
 def _topic_totals(cube: DataFrame, by: Keys) -> DataFrame:
-    return (
-        cube.groupBy(*by, "topic")
-        .agg(
-            F.sum("reviews").alias("reviews"),
-            _sum_where(F.col("sentiment") == NEGATIVE).alias("negative_reviews"),
-        )
-        .filter(F.col("topic").isNotNull())
+    totals = _per_topic(
+        cube,
+        by,
+        reviews=F.sum("reviews"),
+        negative_reviews=_sum_where(F.col("sentiment") == NEGATIVE),
     )
+    return totals.filter(F.col("_named") > 0).drop("_named")
 
 
 def _top(df: DataFrame, by: Keys, measure: str, n: int, rank: str | None = None) -> DataFrame:
@@ -122,13 +132,15 @@ def topic_sentiment_heatmap(
 def _sentiment_topics(cube: DataFrame, sentiment: str, by: Keys) -> DataFrame:
     """Share of each real topic in all reviews of one sentiment."""
     of_sentiment = F.col("sentiment") == sentiment
-    counts = cube.groupBy(*by, "topic").agg(
-        _sum_where(of_sentiment & (F.col("cluster") != NOISE)).alias("review_count"),
-        _sum_where(of_sentiment).alias("_with_noise"),
+    counts = _per_topic(
+        cube,
+        by,
+        review_count=_sum_where(of_sentiment & (F.col("cluster") != NOISE)),
+        _with_noise=_sum_where(of_sentiment),
     )
     return (
         _with_total(counts, by, F.col("_with_noise"), "_all")
-        .filter(F.col("topic").isNotNull() & (F.col("review_count") > 0))
+        .filter((F.col("_named") > 0) & (F.col("review_count") > 0))
         .select(
             *by,
             "topic",
@@ -156,12 +168,16 @@ def praise_topics(clustered: DataFrame, by: Keys = (), n: int = 10) -> DataFrame
 
 def _breakdown(cube: DataFrame, by: Keys) -> DataFrame:
     negative, neutral, positive = map(F.col, (NEGATIVE, NEUTRAL, POSITIVE))
+    real = F.col("cluster") != NOISE
+    counts = _per_topic(
+        cube,
+        by,
+        **{label: _sum_where(real & (F.col("sentiment") == label)) for label in LABELS},
+    )
     return (
-        cube.filter((F.col("cluster") != NOISE) & F.col("topic").isNotNull())
-        .groupBy(*by, "topic")
-        .agg(*(_sum_where(F.col("sentiment") == label).alias(label) for label in LABELS))
-        .withColumn("total", negative + neutral + positive)
-        .filter(F.col("total") > 0)
+        counts.withColumn("total", negative + neutral + positive)
+        .filter((F.col("_named") > 0) & (F.col("total") > 0))
+        .drop("_named")
         .withColumn(
             "dominant_sentiment",
             F.when((negative >= neutral) & (negative >= positive), NEGATIVE)
@@ -242,10 +258,10 @@ def summary_report(clustered: DataFrame, by: Keys = ()) -> DataFrame:
     """
     cube = topic_cube(clustered, by)
     stats = _cluster_stats(cube.groupBy(*by, "cluster").agg(F.sum("reviews").alias("reviews")), by)
-    labels = cube.groupBy(*by, "sentiment").agg(F.sum("reviews").alias("reviews"))
-    shares = _with_total(labels, by, F.col("reviews"), "_all").filter(
-        F.col("sentiment").isNotNull()
+    labels = cube.groupBy(*by, "sentiment").agg(
+        F.sum("reviews").alias("reviews"), F.count("sentiment").alias("_known")
     )
+    shares = _with_total(labels, by, F.col("reviews"), "_all").filter(F.col("_known") > 0)
     # At most a handful of labels per key, so ranking them is cheap.
     label_rank = F.row_number().over(
         Window.partitionBy(*(by or [F.lit(0)])).orderBy(F.col("reviews").desc(), "sentiment")
@@ -279,7 +295,10 @@ def chart_tables(clustered: DataFrame) -> DataFrame:
     """The numbers behind the charts as (chart, rank, label, series, value)."""
     cube = topic_cube(clustered)
     totals = _topic_totals(cube, ())
-    labels = cube.groupBy("sentiment").agg(F.sum("reviews").alias("reviews"))
+    position = F.array_position(F.array(*map(F.lit, LABELS)), F.col("sentiment"))
+    labels = cube.groupBy("sentiment").agg(
+        F.sum("reviews").alias("reviews"), F.max(position).alias("_position")
+    )
 
     def bars(chart: str, df: DataFrame, rank, label, series, value) -> DataFrame:
         return df.select(
@@ -290,12 +309,11 @@ def chart_tables(clustered: DataFrame) -> DataFrame:
             value.cast("bigint").alias("value"),
         )
 
-    position = F.array_position(F.array(*map(F.lit, LABELS)), F.col("sentiment"))
     parts = [
         bars(
             "sentiment_distribution",
-            labels.filter(F.col("sentiment").isin(*LABELS)),
-            position,
+            labels.filter(F.col("_position") > 0),
+            F.col("_position"),
             F.col("sentiment"),
             F.lit("reviews"),
             F.col("reviews"),

@@ -7,7 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
+# Salts are the low bits of a hash, so their numbers are powers of two.
+SALTS = 32
+HOT_SALTS = 256
+HOT_KEYS = 1000  # any key beyond the first thousand holds less than a thousandth
+HOT_ROWS = 100_000  # fewer rows than this fit any task
+
+
+def _salt(columns: Sequence[str], salts: int) -> Column:
+    return F.xxhash64(*columns).bitwiseAND(F.lit(salts - 1).cast("bigint"))
+
+
+def _all_salts(salts: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
 
 
 def lookup_join(
@@ -18,28 +30,64 @@ def lookup_join(
     how: str = "left",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join many ``facts`` to a ``dim`` with one row per key.
+    """Join many ``facts`` to a much smaller ``dim`` with one row per key.
 
     No broadcast is forced: Spark broadcasts ``dim`` when its measured size is
     below the threshold.  Beyond it the shuffle key carries a salt taken from
     the row's own key, so a key that owns a third of ``facts`` is still spread
     over ``salts`` tasks; only the small side is copied.
+
+    The salt is never null, so Spark pushes no extra filter below ``facts`` and
+    an exchange that ``facts`` and ``dim`` have in common is reused.
     """
-    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    salted_dim = dim.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
+    salted_facts = facts.withColumn("_salt", _salt(spread_by, salts))
+    salted_dim = dim.withColumn("_salt", F.explode(_all_salts(salts)))
     return salted_facts.join(salted_dim, [*on, "_salt"], how).drop("_salt")
 
 
+def counted_lookup_join(
+    facts: DataFrame,
+    dim: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    rows: str,
+    how: str = "left",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join ``facts`` to a large ``dim`` that knows its number of fact ``rows`` per key.
+
+    Only the heaviest keys are salted, so the rest of ``dim`` is not copied.
+    The list of them is the one thing broadcast, and it has at most
+    ``HOT_KEYS`` rows.
+    """
+    hot = (
+        dim.filter(F.col(rows) >= hot_rows)
+        .orderBy(F.col(rows).desc(), *on)
+        .limit(HOT_KEYS)
+        .select(*on, F.lit(True).alias("_hot"))
+    )
+    is_hot = F.coalesce("_hot", F.lit(False))
+    none = F.lit(0).cast("bigint")
+    salted_facts = facts.join(F.broadcast(hot), list(on), "left").withColumn(
+        "_salt", F.when(is_hot, _salt(spread_by, HOT_SALTS)).otherwise(none)
+    )
+    salted_dim = dim.join(F.broadcast(hot), list(on), "left").withColumn(
+        "_salt", F.explode(F.when(is_hot, _all_salts(HOT_SALTS)).otherwise(F.array(none)))
+    )
+    return salted_facts.drop("_hot").join(
+        salted_dim.drop("_hot", rows), [*on, "_salt"], how
+    ).drop("_salt")
+
+
 def first_per_group(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None
 ) -> DataFrame:
     """The first ``n`` rows of each group.
 
-    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows, Spark cuts
-    every group to ``n`` rows on the map side, so a hot group never reaches one
-    task whole.  Without grouping it is a plain ordered limit.
+    Spark cuts every group to ``n`` rows on the map side, so a hot group never
+    reaches one task whole.  It does so up to a threshold; for a larger ``n``
+    each group is first cut within salted parts.  Without grouping it is a plain
+    ordered limit.
     """
     if not by:
         if rank is None:
@@ -48,8 +96,42 @@ def first_per_group(
         return df.orderBy(*order).limit(n).withColumn(
             rank, F.row_number().over(Window.orderBy(*order))
         )
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        salt = _salt(order_columns(df, by), SALTS)
+        within = Window.partitionBy(*by, "_salt").orderBy(*order)
+        df = (
+            df.withColumn("_salt", salt)
+            .withColumn("_place", F.row_number().over(within))
+            .filter(F.col("_place") <= n)
+            .drop("_salt", "_place")
+        )
     position = rank or "_position"
     ranked = df.withColumn(
         position, F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     ).filter(F.col(position) <= n)
     return ranked if rank else ranked.drop(position)
+
+
+def order_columns(df: DataFrame, by: Sequence[str]) -> list[str]:
+    """Columns that tell the rows of a group apart and can be hashed."""
+    return [f.name for f in df.schema.fields if f.name not in by and f.dataType.typeName() != "map"]
+
+
+def dense_numbers(df: DataFrame, by: Sequence[str], key: str, name: str) -> DataFrame:
+    """Number the distinct keys of each group 0, 1, ..., in the order of their digests.
+
+    Keys are numbered within 4096 digest buckets and the buckets' offsets added,
+    so no task sees a whole group.
+    """
+    bucketed = df.withColumn("_digest", F.md5(F.col(key).cast("string"))).withColumn(
+        "_bucket", F.substring("_digest", 1, 3)
+    )
+    counts = bucketed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    through = F.sum("_rows").over(Window.partitionBy(*by).orderBy("_bucket"))
+    offsets = counts.select(*by, "_bucket", (through - F.col("_rows")).alias("_offset"))
+    place = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_digest", key))
+    return (
+        bucketed.join(offsets, [*by, "_bucket"])
+        .withColumn(name, (F.col("_offset") + place - 1).cast("int"))
+        .drop("_digest", "_bucket", "_offset")
+    )

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from echoloom.constants import MAX_TERMS, NOISE, UNCATEGORIZED
 from echoloom.functions.text import ngrams, tokenize
 from echoloom.operators.features import term_statistics, vocabulary
-from echoloom.operators.keyed import first_per_group, lookup_join
+from echoloom.operators.keyed import counted_lookup_join, first_per_group, lookup_join
 from echoloom.workspace import send_with_tasks
 
 send_with_tasks(__name__)
@@ -200,13 +200,18 @@ def keyword_candidates(
     terms = (
         texts.select(*by, "cluster", kept.alias("_words"))
         .select(*by, "cluster", F.explode(ngrams("_words", longest)).alias("term"))
+        .dropna(subset=[*by, "cluster", "term"])
         .groupBy(*by, "cluster", "term")
         .agg(F.count(F.lit(1)).alias("uses"))
     )
-    overall = terms.groupBy(*by, "term").agg(F.sum("uses").alias("_everywhere"))
+    overall = terms.groupBy(*by, "term").agg(
+        F.sum("uses").alias("_everywhere"), F.count(F.lit(1)).alias("_rows")
+    )
     per_cluster = terms.groupBy(*by, "cluster").agg(F.sum("uses").alias("_words"))
     mean = F.avg("_words").alias("_mean")
-    scored = lookup_join(terms, overall, [*by, "term"], ["cluster"], how="inner")
+    scored = counted_lookup_join(
+        terms, overall, [*by, "term"], ["cluster"], "_rows", how="inner"
+    )
     if by:
         scored = lookup_join(scored, per_cluster.groupBy(*by).agg(mean), list(by), ["term"], how="inner")
     else:

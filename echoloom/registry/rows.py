@@ -22,7 +22,7 @@ from echoloom.registry.core import (
     words,
 )
 from echoloom.sources import fixtures, readers, writers
-from echoloom.workspace import scratch_path
+from echoloom.workspace import scratch_path, use_all_cores
 
 SOURCE = "parquet.documents"
 BATCH_DATE = "2024-01-31"
@@ -221,10 +221,10 @@ DIRTY = """dirty AS (
 
 
 def _dirty(spark, sf_dir) -> DataFrame:
-    documents = fixtures.table(spark, sf_dir, "documents").select(
+    documents = use_all_cores(fixtures.table(spark, sf_dir, "documents")).select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("content")
     )
-    pages = fixtures.table(spark, sf_dir, "pages")
+    pages = use_all_cores(fixtures.table(spark, sf_dir, "pages"))
     html = pages.select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("content"))
     urls = pages.select(
         F.lit("url").alias("kind"),

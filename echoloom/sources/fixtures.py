@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from echoloom.constants import NOISE, UNCATEGORIZED
 from echoloom.functions.labels import sentiment_from_score
+from echoloom.workspace import use_all_cores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = use_all_cores(table(spark, sf_dir, "documents"))
     labels = table(spark, sf_dir, "labels")
     score = (
         F.when(F.col("toxic") == 1, 1).when(F.col("quality") == 0, 3).when(F.col("quality") == 1, 5)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from echoloom import schema
 from echoloom.functions.text import html_nodes
-from echoloom.operators.keyed import first_per_group
+from echoloom.operators.keyed import first_per_group, lookup_join
 
 # Source table, driver class and pooler setting.
 SOURCE_TABLE = "raw_reviews"
@@ -99,7 +99,7 @@ def scan_json_pages(pages: DataFrame, max_reviews: int = 100) -> DataFrame:
         F.min(F.when(empty, F.col("page"))).alias("empty_page"),
         F.min(F.when(F.col("token").isNull(), F.col("page"))).alias("last_page"),
     )
-    readable = parsed.join(ends, "app_id").filter(
+    readable = lookup_join(parsed, ends, ["app_id"], ["page"]).filter(
         (F.col("empty_page").isNull() | (F.col("page") < F.col("empty_page")))
         & (F.col("last_page").isNull() | (F.col("page") <= F.col("last_page")))
     )
