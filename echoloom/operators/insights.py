@@ -266,11 +266,23 @@ def summary_report(clustered: DataFrame, by: Keys = ()) -> DataFrame:
     label_rank = F.row_number().over(
         Window.partitionBy(*(by or [F.lit(0)])).orderBy(F.col("reviews").desc(), "sentiment")
     )
-    none, one = F.lit(None), F.lit(1)
+    headline = F.array(
+        *(
+            F.struct(
+                F.lit(section).alias("section"),
+                F.lit(key).alias("key"),
+                F.col(reviews).alias("reviews"),
+                percentage.cast("double").alias("percentage"),
+            )
+            for section, key, reviews, percentage in (
+                ("total", "reviews", "total", F.lit(None)),
+                ("topics", "clusters", "clusters", F.lit(None)),
+                ("noise", "noise", "noise", F.col("noise_percentage")),
+            )
+        )
+    )
     parts = [
-        _section("total", stats, by, one, F.lit("reviews"), F.col("total"), none),
-        _section("topics", stats, by, one, F.lit("clusters"), F.col("clusters"), none),
-        _section("noise", stats, by, one, F.lit("noise"), F.col("noise"), F.col("noise_percentage")),
+        stats.select(*by, F.inline(headline)).withColumn("rank", F.lit(1)),
         _section(
             "sentiment",
             shares,

@@ -50,19 +50,24 @@ def counted_lookup_join(
     dim: DataFrame,
     on: Sequence[str],
     spread_by: Sequence[str],
-    rows: str,
+    rows: str | None = None,
     how: str = "left",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join ``facts`` to a large ``dim`` that knows its number of fact ``rows`` per key.
+    """Join ``facts`` to a large ``dim`` with one row per key.
 
-    Only the heaviest keys are salted, so the rest of ``dim`` is not copied.
-    The list of them is the one thing broadcast, and it has at most
-    ``HOT_KEYS`` rows.
+    ``rows`` is the column of ``dim`` with the number of facts per key; without
+    it they are counted.  Only the heaviest keys are salted, so the rest of
+    ``dim`` is not copied.  The list of them is the one thing broadcast, and it
+    has at most ``HOT_KEYS`` rows.
     """
+    if rows is None:
+        counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    else:
+        counts = dim.select(*on, F.col(rows).alias("_rows"))
     hot = (
-        dim.filter(F.col(rows) >= hot_rows)
-        .orderBy(F.col(rows).desc(), *on)
+        counts.filter(F.col("_rows") >= hot_rows)
+        .orderBy(F.col("_rows").desc(), *on)
         .limit(HOT_KEYS)
         .select(*on, F.lit(True).alias("_hot"))
     )
@@ -74,9 +79,12 @@ def counted_lookup_join(
     salted_dim = dim.join(F.broadcast(hot), list(on), "left").withColumn(
         "_salt", F.explode(F.when(is_hot, _all_salts(HOT_SALTS)).otherwise(F.array(none)))
     )
-    return salted_facts.drop("_hot").join(
-        salted_dim.drop("_hot", rows), [*on, "_salt"], how
-    ).drop("_salt")
+    spare = ["_hot"] if rows is None else ["_hot", rows]
+    return (
+        salted_facts.drop("_hot")
+        .join(salted_dim.drop(*spare), [*on, "_salt"], how)
+        .drop("_salt")
+    )
 
 
 def first_per_group(
