@@ -21,7 +21,7 @@ from echoloom.constants import MAX_TERMS, NOISE, UNCATEGORIZED
 from echoloom.functions.text import ngrams, tokenize
 from echoloom.operators.features import term_statistics, vocabulary
 from echoloom.operators.keyed import counted_lookup_join, first_per_group, lookup_join
-from echoloom.workspace import send_with_tasks
+from echoloom.workspace import materialize, send_with_tasks
 
 send_with_tasks(__name__)
 
@@ -204,6 +204,8 @@ def keyword_candidates(
         .groupBy(*by, "cluster", "term")
         .agg(F.count(F.lit(1)).alias("uses"))
     )
+    # Counted once; the tables below all derive from it.
+    terms = materialize(terms, "terms")
     overall = terms.groupBy(*by, "term").agg(
         F.sum("uses").alias("_everywhere"), F.count(F.lit(1)).alias("_rows")
     )
@@ -213,7 +215,9 @@ def keyword_candidates(
         terms, overall, [*by, "term"], ["cluster"], "_rows", how="inner"
     )
     if by:
-        scored = lookup_join(scored, per_cluster.groupBy(*by).agg(mean), list(by), ["term"], how="inner")
+        # Stored, so that Spark knows its size and broadcasts it only when small.
+        means = materialize(per_cluster.groupBy(*by).agg(mean), "means")
+        scored = lookup_join(scored, means, list(by), ["term"], how="inner")
     else:
         scored = scored.withColumn("_mean", per_cluster.agg(mean).scalar())
     score = F.round(F.col("uses") * F.ln(1.0 + F.col("_mean") / F.col("_everywhere")), 9)

@@ -12,7 +12,8 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,6 +51,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(
+    df: DataFrame, label: str, counted: Column | None = None
+) -> tuple[DataFrame, int]:
+    """:func:`materialize` and the number of rows (where ``counted`` holds), from the same job."""
+    seen = Observation(label)
+    rows = F.count(F.lit(1)) if counted is None else F.count_if(counted)
+    stored = materialize(df.observe(seen, rows.alias("rows")), label)
+    return stored, seen.get["rows"]
+
+
 def send_with_tasks(module: str) -> None:
     """Send a module's functions along with the tasks, so executors need no install."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -207,3 +207,26 @@ def test_analysis_end_to_end(spark):
     assert [r["app_id"] for r in result] == ["app1"]
     assert result[0]["sentiment_distribution"].asDict() == {"Positive": 40, "Neutral": 0, "Negative": 40}
     assert result[0]["topics"] and result[0]["top_negative_topics"]
+
+
+def test_spanning_forest_keeps_components_at_every_cut(spark):
+    rng = np.random.default_rng(5)
+    edges = [("g", int(a), int(b), float(w)) for (a, b), w in zip(rng.integers(0, 60, size=(200, 2)), rng.integers(1, 30, size=200)) if a != b]
+    df = spark.createDataFrame(edges, "grp string, u bigint, v bigint, length double")
+    forest = [tuple(r) for r in density.spanning_forest(df, ["grp"]).select("grp", "u", "v", "length").collect()]
+
+    def components(rows, cut):
+        parent = list(range(60))
+
+        def find(n):
+            while parent[n] != n:
+                n = parent[n]
+            return n
+
+        for _, a, b, w in rows:
+            if w <= cut:
+                parent[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(n) for n in range(60)]
+
+    assert len(forest) == 60 - len(set(components(edges, 99)))
+    assert all(components(forest, cut) == components(edges, cut) for cut in range(31))
