@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 # Salts are the low bits of a hash, so their numbers are powers of two.
 SALTS = 32
-HOT_SALTS = 256
-HOT_KEYS = 1000  # any key beyond the first thousand holds less than a thousandth
-HOT_ROWS = 100_000  # fewer rows than this fit any task
 
 
 def _salt(columns: Sequence[str], salts: int) -> Column:
@@ -52,36 +49,50 @@ def counted_lookup_join(
     spread_by: Sequence[str],
     rows: str | None = None,
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` to a large ``dim`` with one row per key.
 
     ``rows`` is the column of ``dim`` with the number of facts per key; without
-    it they are counted.  Only the heaviest keys are salted, so the rest of
-    ``dim`` is not copied.  The list of them is the one thing broadcast, and it
-    has at most ``HOT_KEYS`` rows.
+    it they are counted, so ``facts`` (or ``dim``) should be stored.  A key is
+    heavy when it holds more than its even share, all rows over the number of
+    shuffle partitions, so no more keys than partitions can be heavy: their list
+    is broadcast whole.  A heavy key is cut into as many salts as it holds
+    shares; the rest of ``dim`` is not copied.  Facts with a null in the key
+    match nothing and are spread like a heavy key.  ``hot_rows`` replaces the
+    even share.
     """
+    spark = facts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if rows is None:
         counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     else:
-        counts = dim.select(*on, F.col(rows).alias("_rows"))
-    hot = (
-        counts.filter(F.col("_rows") >= hot_rows)
-        .orderBy(F.col("_rows").desc(), *on)
-        .limit(HOT_KEYS)
-        .select(*on, F.lit(True).alias("_hot"))
+        counts = dim.select(*on, F.col(rows).cast("bigint").alias("_rows"))
+    if hot_rows is None:
+        share = F.ceil(counts.agg(F.coalesce(F.sum("_rows"), F.lit(1)) / F.lit(parts)).scalar())
+        share = F.greatest(share.cast("bigint"), F.lit(1).cast("bigint"))
+    else:
+        share = F.lit(hot_rows).cast("bigint")
+    heavy = counts.filter(F.col("_rows") > share).select(
+        *on, F.ceil(F.col("_rows") / share).cast("bigint").alias("_salts")
     )
-    is_hot = F.coalesce("_hot", F.lit(False))
     none = F.lit(0).cast("bigint")
-    salted_facts = facts.join(F.broadcast(hot), list(on), "left").withColumn(
-        "_salt", F.when(is_hot, _salt(spread_by, HOT_SALTS)).otherwise(none)
+    missing = F.lit(False)
+    for column in on:
+        missing = missing | F.col(column).isNull()
+    digest = F.xxhash64(*spread_by)
+    salt = (
+        F.when(missing, F.pmod(digest, F.lit(parts).cast("bigint")))
+        .when(F.col("_salts").isNotNull(), F.pmod(digest, F.col("_salts")))
+        .otherwise(none)
     )
-    salted_dim = dim.join(F.broadcast(hot), list(on), "left").withColumn(
-        "_salt", F.explode(F.when(is_hot, _all_salts(HOT_SALTS)).otherwise(F.array(none)))
+    salted_facts = facts.join(F.broadcast(heavy), list(on), "left").withColumn("_salt", salt)
+    salted_dim = dim.join(F.broadcast(heavy), list(on), "left").withColumn(
+        "_salt", F.explode(F.sequence(none, F.coalesce("_salts", F.lit(1)) - 1))
     )
-    spare = ["_hot"] if rows is None else ["_hot", rows]
+    spare = ["_salts"] if rows is None else ["_salts", rows]
     return (
-        salted_facts.drop("_hot")
+        salted_facts.drop("_salts")
         .join(salted_dim.drop(*spare), [*on, "_salt"], how)
         .drop("_salt")
     )
@@ -143,3 +154,37 @@ def dense_numbers(df: DataFrame, by: Sequence[str], key: str, name: str) -> Data
         .withColumn(name, (F.col("_offset") + place - 1).cast("int"))
         .drop("_digest", "_bucket", "_offset")
     )
+
+
+def numbered(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str, digest: Column
+) -> DataFrame:
+    """Number the rows of each group 0, 1, ..., by ``digest`` (bigint) and then ``order``.
+
+    The digest's range is cut into buckets, so many that the largest group's hold
+    an even share of all rows (rows over shuffle partitions), and the buckets'
+    offsets are added: no task sees a whole group.  The columns of ``by`` hold no
+    nulls.  ``df`` is read three times, twice without its other columns.
+    """
+    by = list(by)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    most, total = groups.agg(F.max("_rows"), F.sum("_rows")).first()
+    bits = ((most or 0) // max(1, (total or 0) // parts)).bit_length()
+    # The top bits of the digest, as an unsigned number.
+    bucket = F.shiftrightunsigned(digest, 64 - bits) if bits else F.lit(0).cast("bigint")
+    bucketed = df.withColumn("_digest", digest).withColumn("_bucket", bucket)
+    counts = bucketed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    through = F.sum("_rows").over(Window.partitionBy(*by).orderBy("_bucket"))
+    offsets = counts.select(*by, "_bucket", (through - F.col("_rows")).alias("_offset"))
+    # Unsigned order within a bucket: the sign bit is flipped.
+    unsigned = F.col("_digest").bitwiseXOR(F.lit(-(2**63)).cast("bigint"))
+    place = F.row_number().over(
+        Window.partitionBy(*by, "_bucket").orderBy(unsigned, *order)
+    )
+    # The join and the window share one exchange.
+    return (
+        bucketed.join(offsets, [*by, "_bucket"])
+        .withColumn(name, (F.col("_offset") + place - 1).cast("bigint"))
+        .drop("_digest", "_bucket", "_offset")
+    )
