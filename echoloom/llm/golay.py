@@ -33,6 +33,7 @@ GENERATOR = 0b101011100011
 LENGTH, MESSAGE = 23, 12
 # (offset, bits) of the three segments; each fits a code word.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
+THIRDS = 3  # parts of a segment: 7, 7 and the remaining 7 or 8 bits
 BLOCK = 2048  # fingerprints of a bucket compared in one task with as many others
 
 
@@ -122,8 +123,9 @@ def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     With four errors over three segments, either a segment is free of errors,
     and then one of the other two has at most two (keys: the exact segment with
     every nearby index of the other one), or every segment has an error, and then
-    two of them have exactly one each (keys: the own index of one segment with
-    every nearby index of the other, both ways round).
+    two of them have exactly one each (the own index of one segment with every
+    nearby index of the other, both ways round) and the third has one or two, which
+    leave one of its three parts exact (keys: the two indices with each part).
     """
     whole = prints.view(np.uint64)
     exact = [
@@ -134,31 +136,31 @@ def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     own = [decode(w) for w in exact]
     rows, keys = [], []
 
-    def add(tag: int, first: np.ndarray, second: np.ndarray) -> None:
-        fresh = np.ones(second.shape, dtype=bool)
-        fresh[:, 1:] = second[:, 1:] != second[:, :-1]
-        row, column = np.nonzero(fresh)
-        rows.append(row)
-        keys.append((tag << 34) | (first[row] << 12) | second[row, column])
-
+    fresh = [np.concatenate((np.ones((len(n), 1), bool), n[:, 1:] != n[:, :-1]), 1) for n in near]
     tag = 0
     for i in range(3):
         for j in range(3):
             if i != j:
-                add(tag, exact[i], near[j])
+                row, column = np.nonzero(fresh[j])
+                rows.append(row)
+                keys.append((tag << 40) | (exact[i][row] << 12) | near[j][row, column])
                 tag += 1
     for i in range(3):
         for j in range(i + 1, 3):
-            add(tag, own[i], near[j])
-            # The same tag and order of segments, so that both ways round meet.
-            index, column = np.nonzero(
-                np.concatenate((np.ones((len(whole), 1), bool), near[i][:, 1:] != near[i][:, :-1]), 1)
-            )
-            other = near[i][index, column]
-            twice = other == own[i][index]  # emitted above already
-            rows.append(index[~twice])
-            keys.append((tag << 34) | (other[~twice] << 12) | own[j][index[~twice]])
-            tag += 1
+            row, column = np.nonzero(fresh[j])
+            one_way = (own[i][row] << 12) | near[j][row, column]
+            back, column = np.nonzero(fresh[i])
+            other = near[i][back, column]
+            new = other != own[i][back]  # the own index is in the first way already
+            back, other = back[new], other[new]
+            # Both ways have the same order of segments, so that they meet.
+            row = np.concatenate((row, back))
+            both = np.concatenate((one_way, (other << 12) | own[j][back]))
+            third = exact[3 - i - j]
+            for part in range(THIRDS):
+                rows.append(row)
+                keys.append((tag << 40) | (both << 8) | (third[row] >> (7 * part) & (0xFF if part == 2 else 0x7F)))
+                tag += 1
     return np.concatenate(rows), np.concatenate(keys)
 
 
