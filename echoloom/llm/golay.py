@@ -34,6 +34,9 @@ LENGTH, MESSAGE = 23, 12
 # (offset, bits) of the three segments; each fits a code word.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 THIRDS = 3  # parts of a segment: 7, 7 and the remaining 7 or 8 bits
+# Bits of the filter that marks buckets with more than one fingerprint.  Its size
+# (4 MB) does not depend on the data; two buckets on one bit let a few more rows through.
+FILTER_BITS = 25
 BLOCK = 2048  # fingerprints of a bucket compared in one task with as many others
 
 
@@ -188,6 +191,23 @@ def forest(prints: list[int], most: int = MOST_BITS) -> list[tuple[int, int]]:
     return edges
 
 
+def _marks(buckets: DataFrame) -> np.ndarray:
+    """Bytes of the filter; at most 2 ** FILTER_BITS bits come to the driver."""
+    folded = F.col("bucket").bitwiseXOR(F.shiftright("bucket", FILTER_BITS))
+    bit = folded.bitwiseAND(F.lit((1 << FILTER_BITS) - 1).cast("bigint")) + 1
+    words = (
+        buckets.select(bit.alias("_bit"))
+        .groupBy(F.bitmap_bucket_number("_bit").alias("word"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("bits"))
+        .collect()
+    )
+    marks = np.zeros(1 << FILTER_BITS - 3, dtype=np.uint8)
+    for row in words:
+        start = (row["word"] - 1) * len(row["bits"])
+        marks[start : start + len(row["bits"])] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return marks
+
+
 def links(prints: DataFrame, most: int = MOST_BITS, block: int = BLOCK) -> DataFrame:
     """(a, b): verified links that connect the distinct ``prints`` (fingerprint).
 
@@ -197,12 +217,16 @@ def links(prints: DataFrame, most: int = MOST_BITS, block: int = BLOCK) -> DataF
     bucket's size.  Each task emits a spanning forest, never all pairs.
     """
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch], marks: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy()
             for at in range(0, len(values), 4096):
                 part = np.ascontiguousarray(values[at : at + 4096])
                 rows, keys = fuzzy_keys(part)
+                if marks is not None:
+                    place = (keys ^ keys >> FILTER_BITS) & ((1 << FILTER_BITS) - 1)
+                    known = marks[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
+                    rows, keys = rows[known], keys[known]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part[rows]), pa.array(keys)], ["fingerprint", "bucket"]
                 )
@@ -214,11 +238,21 @@ def links(prints: DataFrame, most: int = MOST_BITS, block: int = BLOCK) -> DataF
                 [pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], ["a", "b"]
             )
 
-    keys = prints.select("fingerprint").mapInArrow(keyed, "fingerprint bigint, bucket bigint")
+    spark = prints.sparkSession
+    # A fingerprint has some 120 keys, so few files are worth many tasks.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = prints.select("fingerprint").repartition(parts, "fingerprint")
+    schema = "fingerprint bigint, bucket bigint"
     shared = materialize(
-        keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > 1),
+        spread.mapInArrow(lambda batches: keyed(batches, None), schema)
+        .groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("members"))
+        .filter(F.col("members") > 1),
         "buckets",
     )
+    filled = spark.sparkContext.broadcast(_marks(shared))
+    # Keys are made again, and those of buckets with one member go no further.
+    keys = spread.mapInArrow(lambda batches: keyed(batches, filled.value), schema)
     rows = F.col("members").alias("_rows")
     members = counted_lookup_join(
         keys, shared.select("bucket", "members", rows), ["bucket"], ["fingerprint"], "_rows", how="inner"
