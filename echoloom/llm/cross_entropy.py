@@ -1,8 +1,9 @@
 """Cross-entropy difference of a target and a background language model (Moore and Lewis 2010).
 
-Both models are bigram models over one vocabulary, smoothed alike.  A document's
-score is the mean difference of its tokens' losses: the lower, the more it reads
-like the target.
+Both are bigram models over one vocabulary, smoothed alike, and the larger model's
+counts are scaled to the mass of the smaller one, so that smoothing weighs the same
+in both.  A document's score is the mean difference of its tokens' losses: the
+lower, the more it reads like the target.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from echoloom.llm.sampling import word_counts
@@ -25,16 +26,18 @@ send_with_tasks(__name__)
 LEAST_SHARE = 1e-5
 PAIR_BUCKETS = 1 << 20  # hashed pairs of words; the size of a model does not grow
 SMOOTHING = 50.0  # tokens' worth of the unigram model mixed into each context
+LEAST_COUNT = 0.1  # of every word in a unigram model
 UNKNOWN, START = 0, 1
 
 
 @dataclass(frozen=True)
 class Counts:
-    """Counts of one model: hashed pairs, contexts and words by number."""
+    """Counts of one model: hashed pairs, contexts and words by number, and what one counts for."""
 
     pairs: np.ndarray
     contexts: np.ndarray
     words: np.ndarray
+    scale: float
 
 
 @dataclass(frozen=True)
@@ -68,9 +71,11 @@ def losses(
             _, inverse, times = np.unique(place, return_inverse=True, return_counts=True)
             values -= times[inverse]
         total -= len(tokens)
-    unigram = (np.maximum(word, 0) + 1.0) / (total + len(model.words))
+    size, scale = len(model.words), model.scale
+    unigram = (np.maximum(word, 0) * scale + LEAST_COUNT) / (total * scale + LEAST_COUNT * size)
     return -np.log2(
-        (np.maximum(pair, 0) + SMOOTHING * unigram) / (np.maximum(context, 0) + SMOOTHING)
+        (np.maximum(pair, 0) * scale + SMOOTHING * unigram)
+        / (np.maximum(context, 0) * scale + SMOOTHING)
     )
 
 
@@ -83,15 +88,18 @@ def vocabulary(docs: DataFrame, text: str = "text", least_share: float = LEAST_S
 
 
 def fit_models(
-    docs: DataFrame, target: Column, text: str = "text", least_share: float = LEAST_SHARE
+    docs: DataFrame, target: DataFrame, text: str = "text", least_share: float = LEAST_SHARE
 ) -> Models:
-    """Both models over all documents: the target's from rows where ``target`` holds, the background's from all.
+    """The target's model from all texts of ``target``, the background's from all of ``docs``.
 
     Every task adds up what it reads into arrays of fixed size and passes on the
     counts that are not zero; they are added up by bucket on the executors, and
-    one model of fixed size comes to the driver.
+    one model of fixed size comes to the driver.  Texts are not shuffled.
     """
-    words = vocabulary(docs, text, least_share)
+    narrow = docs.select(F.col(text).cast("binary").alias("_text"), F.lit(False).alias("_target")).unionByName(
+        target.select(F.col(text).cast("binary").alias("_text"), F.lit(True).alias("_target"))
+    )
+    words = vocabulary(narrow, "_text", least_share)
     numbers = {w: i + 2 for i, w in enumerate(words)}
     size = len(words) + 2
     shared = docs.sparkSession.sparkContext.broadcast(numbers)
@@ -128,9 +136,6 @@ def fit_models(
             ["cell", "others", "target"],
         )
 
-    narrow = docs.select(
-        F.col(text).cast("binary").alias("_text"), F.coalesce(target, F.lit(False)).alias("_target")
-    )
     summed = (
         narrow.mapInArrow(scan, "cell int, others bigint, target bigint")
         .groupBy("cell")
@@ -138,28 +143,29 @@ def fit_models(
         .toArrow()
     )
     cell = summed.column("cell").to_numpy()
-    models = []
-    for columns in (["target"], ["others", "target"]):
-        counts = np.zeros(width, dtype=np.int64)
-        for name in columns:
-            counts[cell] += summed.column(name).to_numpy()
-        models.append(
-            Counts(
-                counts[:PAIR_BUCKETS],
-                counts[PAIR_BUCKETS : PAIR_BUCKETS + size],
-                counts[PAIR_BUCKETS + size :],
-            )
+    counts = {}
+    for name in ("target", "others"):
+        counts[name] = np.zeros(width, dtype=np.int64)
+        counts[name][cell] = summed.column(name).to_numpy()
+    total = {name: max(1, int(found[PAIR_BUCKETS + size :].sum())) for name, found in counts.items()}
+    models = [
+        Counts(
+            counts[name][:PAIR_BUCKETS],
+            counts[name][PAIR_BUCKETS : PAIR_BUCKETS + size],
+            counts[name][PAIR_BUCKETS + size :],
+            min(total.values()) / total[name],
         )
+        for name in ("target", "others")
+    ]
     return Models(numbers, *models)
 
 
 def score_documents(
-    docs: DataFrame, models: Models, target: Column, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(key, n_tokens, target_loss, background_loss, difference), mean losses in bits per token.
 
-    A document's own counts are taken off every model that holds them, so no
-    document is recognised by having been counted.  Texts without words, null
+    A document's own counts are taken off the background, which holds them.  Texts without words, null
     ones included, have no tokens and zeros.  Repeated rows count as often as
     they are there and get equal scores; an empty table gives none.
     """
@@ -169,13 +175,13 @@ def score_documents(
         models = shared.value
         for batch in batches:
             rows = []
-            for value, wanted in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for value in batch.column(1).to_pylist():
                 tokens = token_numbers(value or b"", models.numbers)
                 if not len(tokens):
                     rows.append((0, 0.0, 0.0, 0.0))
                     continue
                 found = (tokens, *pair_buckets(tokens))
-                near = losses(models.target, *found, own=wanted)
+                near = losses(models.target, *found, own=False)
                 far = losses(models.background, *found, own=True)
                 rows.append((len(tokens), near.mean(), far.mean(), (near - far).mean()))
             columns = list(zip(*rows)) if rows else [()] * 4
@@ -186,9 +192,7 @@ def score_documents(
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    narrow = docs.select(
-        F.col(key), F.col(text).cast("binary").alias("_text"), F.coalesce(target, F.lit(False)).alias("_target")
-    )
+    narrow = docs.select(F.col(key), F.col(text).cast("binary").alias("_text"))
     return narrow.mapInArrow(
         scan,
         f"`{key}` {kind}, n_tokens bigint, target_loss double, background_loss double, difference double",
