@@ -63,16 +63,23 @@ def scan_jdbc(spark: SparkSession, database_url: str, **options) -> DataFrame:
 
 
 def scan_csv(
-    spark: SparkSession, path: str, columns: T.StructType = schema.RAW_REVIEWS
+    spark: SparkSession,
+    path: str,
+    columns: T.StructType = schema.RAW_REVIEWS,
+    multi_line: bool = True,
+    corrupt: str | None = None,
 ) -> DataFrame:
-    """Review CSV with a header; quoted fields may hold line breaks."""
-    return (
-        spark.read.schema(columns)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(path)
-    )
+    """Review CSV with a header; quoted fields may hold line breaks.
+
+    With ``multi_line`` each file is read by one task; switch it off for files
+    without such breaks, and Spark splits them.  ``corrupt`` names a column that
+    receives the text of rows with a value that does not parse.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    if corrupt:
+        columns = T.StructType([*columns.fields, T.StructField(corrupt, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.schema(columns).csv(path)
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:

@@ -33,16 +33,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/echoloom/{label}-{uuid.uuid4().hex}"
 
 
-def use_all_cores(scan: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer partitions than the cluster has cores.
-
-    For work that is heavy per row on few or unsplittable files; a scan with
-    enough partitions is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and survives executor loss."""
     spark = df.sparkSession
