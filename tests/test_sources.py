@@ -130,3 +130,11 @@ def test_stream_equals_batch(spark, raw, tmp_path):
     stream_medallion(spark, landing, gold, str(tmp_path / "cp"), "s", "2024-01-31").awaitTermination(120)
     batch = layers.medallion(raw, "s", "2024-01-31").collect()
     assert sorted(spark.read.parquet(gold).collect(), key=str) == sorted(batch, key=str)
+
+
+def test_csv_keeps_rows_that_do_not_parse(spark, tmp_path):
+    path = tmp_path / "reviews.csv"
+    path.write_text("review_id,app_id,content,score\n1,a,good,5\n2,a,bad,five\n")
+    rows = readers.scan_csv(spark, str(path), multi_line=False, corrupt="_corrupt").cache()
+    found = {r["review_id"]: (r["score"], r["_corrupt"]) for r in rows.collect()}
+    assert found == {1: (5, None), 2: (None, "2,a,bad,five")}
