@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from echoloom.constants import MAX_TERMS
 from echoloom.functions.text import WORD_PATTERN, ngrams, tokenize
 from echoloom.operators.keyed import counted_lookup_join
+from echoloom.workspace import materialize
 
 
 def with_grams(reviews: DataFrame, content: str, longest: int) -> DataFrame:
@@ -101,21 +102,47 @@ def tfidf_model(
     return PipelineModel(stages)
 
 
+def term_counts(
+    reviews: DataFrame, keep: Sequence[str], content: str = "content", longest: int = 1
+) -> DataFrame:
+    """One row per text and distinct term: the columns of ``keep``, term, tf.
+
+    Counted within the row, from the runs of its sorted terms: no shuffle.
+    """
+    ordered = F.array_sort(F.array_compact("grams"))
+    starts = F.array_compact(
+        F.transform(
+            "_sorted", lambda t, i: F.when(~t.eqNullSafe(F.get("_sorted", i - 1)), i)
+        )
+    )
+    runs = F.transform(
+        "_starts",
+        lambda start, i: F.struct(
+            F.get("_sorted", start).alias("term"),
+            (F.coalesce(F.get("_starts", i + 1), F.size("_sorted")) - start)
+            .cast("bigint")
+            .alias("tf"),
+        ),
+    )
+    return (
+        with_grams(reviews, content, longest)
+        .select(*keep, ordered.alias("_sorted"))
+        .select(*keep, "_sorted", starts.alias("_starts"))
+        .select(*keep, F.inline(runs))
+    )
+
+
 def tfidf_terms(
     reviews: DataFrame, key: str = "review_id", content: str = "content", longest: int = 1
 ) -> DataFrame:
     """The same weights as a long table over the whole vocabulary.
 
+    Texts are read once, each row of ``key`` being one text: its counts are
+    stored, frequencies and weights derive from them.
     Columns: key, term, tf, df, weight (unit length per document).
     """
     documents = reviews.filter(F.col(content).isNotNull())
-    counts = (
-        with_grams(documents, content, longest)
-        .select(key, F.explode("grams").alias("term"))
-        .filter(F.col("term").isNotNull())
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    counts = materialize(term_counts(documents, [key], content, longest), "counts")
     documents_with = F.count(F.lit(1))
     frequencies = counts.groupBy("term").agg(
         documents_with.alias("df"), documents_with.alias("_rows")
@@ -125,7 +152,9 @@ def tfidf_terms(
     # A document's terms are bounded by its own text, so its window is too.
     length = F.sqrt(F.sum(F.pow("_raw", F.lit(2.0))).over(Window.partitionBy(key)))
     return (
-        counted_lookup_join(counts, frequencies, ["term"], [key], "_rows", how="inner")
+        counted_lookup_join(
+            counts, materialize(frequencies, "frequencies"), ["term"], [key], "_rows", how="inner"
+        )
         .withColumn("_raw", raw)
         .withColumn("weight", F.col("_raw") / length)
         .drop("_raw")

@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-import hashlib
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PCA, Normalizer, StopWordsRemover
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from echoloom.constants import MAX_TERMS, NOISE, UNCATEGORIZED
+from echoloom.constants import NOISE, UNCATEGORIZED
 from echoloom.functions.text import ngrams, tokenize
-from echoloom.operators.features import term_statistics, vocabulary
+from echoloom.operators.features import term_counts
 from echoloom.operators.keyed import counted_lookup_join, first_per_group, lookup_join
-from echoloom.workspace import materialize, send_with_tasks
-
-send_with_tasks(__name__)
+from echoloom.workspace import materialize
 
 DIMENSIONS = 256
 REDUCED = 10
@@ -32,7 +24,6 @@ SAMPLE_TEXTS = 200
 KEYWORDS = 3
 DIVERSITY = 0.5
 SEPARATOR = " | "
-CANDIDATES = 20
 
 
 # --- embedding ---------------------------------------------------------------
@@ -40,32 +31,21 @@ CANDIDATES = 20
 
 @dataclass(frozen=True)
 class TextEmbedder:
-    """Words with their weight and place in the embedding; at most ``MAX_TERMS`` of them."""
+    """How many texts hold each word, as a stored table (term, documents), and all texts."""
 
-    terms: list[str]
-    weights: list[float]
+    terms: DataFrame
+    texts: int
     dimensions: int = DIMENSIONS
 
-    def places(self) -> tuple[np.ndarray, np.ndarray]:
-        """Dimension and signed weight of each word, both from the word's digest."""
-        digests = [hashlib.md5(t.encode()).hexdigest() for t in self.terms]
-        place = np.array([int(d[:8], 16) % self.dimensions for d in digests], dtype=np.int64)
-        sign = np.array([1.0 if int(d[8], 16) < 8 else -1.0 for d in digests])
-        return place, sign * np.array(self.weights, dtype=float)
-
 
 def fit_embedder(
-    reviews: DataFrame,
-    content: str = "content",
-    max_terms: int = MAX_TERMS,
-    dimensions: int = DIMENSIONS,
+    reviews: DataFrame, content: str = "content", dimensions: int = DIMENSIONS
 ) -> TextEmbedder:
-    """Inverse document weights of the most used words; one aggregation."""
+    """Document counts of every word; one aggregation, nothing of it on the driver."""
     documents = reviews.filter(F.col(content).isNotNull())
-    n = documents.count()
-    rows = vocabulary(term_statistics(documents, content), max_terms).collect()
-    weights = [math.log((1 + n) / (1 + row["documents"])) + 1 for row in rows]
-    return TextEmbedder([row["term"] for row in rows], weights, dimensions)
+    terms = term_counts(documents, [], content).groupBy("term")
+    stored = materialize(terms.agg(F.count(F.lit(1)).alias("documents")), "terms")
+    return TextEmbedder(stored, documents.count(), dimensions)
 
 
 def embed_text(
@@ -73,43 +53,65 @@ def embed_text(
     embedder: TextEmbedder,
     content: str = "content",
     out: str = "embedding",
+    key: str = "review_id",
 ) -> DataFrame:
     """Add a unit vector per text: its TF-IDF words, each on a signed hashed dimension.
 
-    Row by row, no shuffle.  Tokens come from the JVM as Arrow lists and are
-    summed with numpy per batch.  A text without known words gets zeros.
+    Every word counts; one that the embedder never saw weighs like a word of no
+    text.  Words meet their weights in a join, with words of many texts split,
+    and come together again by ``key``, which names one row.  A text without
+    words gets zeros.
     """
-    place, weight = embedder.places()
-    shared = reviews.sparkSession.sparkContext.broadcast((embedder.terms, place, weight))
     width = embedder.dimensions
-    fields = [f for f in reviews.schema.fields if f.name != out]
-    schema = T.StructType([*fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
-    names = [f.name for f in fields]
-
-    def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, place, weight = shared.value
-        known = pa.array(terms, pa.string())
-        for batch in batches:
-            words = batch.column("_words")
-            row = pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
-            term = pc.index_in(words.flatten(), value_set=known)
-            found = term.is_valid().to_numpy(zero_copy_only=False)
-            term = pc.drop_null(term).to_numpy(zero_copy_only=False)
-            cells = np.bincount(
-                row[found] * width + place[term],
-                weights=weight[term],
-                minlength=batch.num_rows * width,
-            ).reshape(batch.num_rows, width)
-            length = np.sqrt((cells**2).sum(axis=1, keepdims=True))
-            cells = np.divide(cells, length, out=np.zeros_like(cells), where=length > 0)
-            offsets = np.arange(0, cells.size + 1, width, dtype=np.int32)
-            vectors = pa.ListArray.from_arrays(offsets, cells.ravel())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), vectors], [*names, out]
-            )
+    words = materialize(term_counts(reviews, [key], content), "words")
+    weighed = counted_lookup_join(words, embedder.terms, ["term"], [key])
+    digest = F.md5("term")
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % width
+    sign = F.when(F.substring(digest, 9, 1) < "8", 1.0).otherwise(-1.0)
+    seen = F.coalesce("documents", F.lit(0))
+    weight = F.ln((1.0 + embedder.texts) / (1.0 + seen)) + 1.0
+    # Dealt by key once; both groupings keep that partitioning.
+    cells = (
+        weighed.select(
+            key, place.cast("int").alias("_place"), (F.col("tf") * weight * sign).alias("_part")
+        )
+        .repartition(key)
+        .groupBy(key, "_place")
+        .agg(F.sum("_part").alias("_value"))
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list(F.struct("_place", "_value"))).alias("_cells"))
+    )
 
-    words = F.coalesce(tokenize(F.col(content)), F.array().cast("array<string>"))
-    return reviews.select(*names, words.alias("_words")).mapInArrow(embed, schema)
+    def zeros(n: Column) -> Column:
+        return F.array_repeat(F.lit(0.0), n)
+
+    def filled(cell: Column, i: Column) -> Column:
+        before = F.coalesce(F.get("_cells", i - 1)["_place"], F.lit(-1))
+        return F.concat(zeros(cell["_place"] - before - 1), F.array(cell["_value"]))
+
+    last = F.element_at("_cells", -1)["_place"]
+    squares = F.aggregate("_cells", F.lit(0.0), lambda a, c: a + c["_value"] * c["_value"])
+    vectors = (
+        cells.select(
+            key,
+            F.sqrt(squares).alias("_length"),
+            F.concat(F.flatten(F.transform("_cells", filled)), zeros(width - 1 - last)).alias("_raw"),
+        )
+        .select(
+            key,
+            F.when(
+                F.col("_length") > 0, F.transform("_raw", lambda v: v / F.col("_length"))
+            ).alias(out),
+        )
+    )
+    return (
+        reviews.drop(out)
+        .join(vectors, key, "left")
+        .select(
+            *(c for c in reviews.columns if c != out),
+            F.coalesce(out, zeros(F.lit(width))).alias(out),
+        )
+    )
 
 
 # --- reduction ---------------------------------------------------------------
@@ -181,15 +183,14 @@ def keyword_candidates(
     by: Sequence[str] = (),
     stop_words: Sequence[str] | None = None,
     longest: int = 2,
-    n: int = CANDIDATES,
     sample: int | None = None,
     key: str = "review_id",
 ) -> DataFrame:
-    """Best terms of each real cluster by class-based TF-IDF (Grootendorst 2022).
+    """All terms of each real cluster with their class-based TF-IDF (Grootendorst 2022).
 
     ``score = tf * ln(1 + mean words per cluster / uses in all clusters)``, over
     all texts of a cluster, or its first ``sample`` ones.  Columns: by, cluster,
-    term, uses, score, rank.
+    term, uses, score.
     """
     dropped = english_stop_words() if stop_words is None else list(stop_words)
     texts = clustered.filter(F.col("cluster") != NOISE).select(*by, "cluster", key, "content")
@@ -221,13 +222,7 @@ def keyword_candidates(
     else:
         scored = scored.withColumn("_mean", per_cluster.agg(mean).scalar())
     score = F.round(F.col("uses") * F.ln(1.0 + F.col("_mean") / F.col("_everywhere")), 9)
-    return first_per_group(
-        scored.select(*by, "cluster", "term", "uses", score.alias("score")),
-        [*by, "cluster"],
-        [F.col("score").desc(), F.col("term")],
-        n,
-        rank="rank",
-    )
+    return scored.select(*by, "cluster", "term", "uses", score.alias("score"))
 
 
 def _similarity(a: Column, b: Column) -> Column:
@@ -236,6 +231,10 @@ def _similarity(a: Column, b: Column) -> Column:
     return shared / F.sqrt((F.size(a) * F.size(b)).cast("double"))
 
 
+def _words(term: Column) -> Column:
+    return F.array_distinct(F.split(term, " "))
+
+
 def diverse_keywords(
     candidates: DataFrame,
     by: Sequence[str] = (),
@@ -244,40 +243,46 @@ def diverse_keywords(
 ) -> DataFrame:
     """Keywords per cluster by maximal marginal relevance (Carbonell and Goldstein 1998).
 
-    Works on the few candidates of a cluster as one sorted array.
+    Every term of a cluster competes for every place.  The picks, one row per
+    cluster, are joined to the terms, and the best gain is combined on the map
+    side; ties go to the higher score, then by term.
     """
-    entry = F.struct("rank", "term", "score", F.array_distinct(F.split("term", " ")).alias("words"))
-    df = candidates.groupBy(*by, "cluster").agg(F.array_sort(F.collect_list(entry)).alias("_all"))
-    best = F.get("_all", F.lit(0))
-    df = df.withColumn("_picked", F.array(best)).withColumn("_top", best["score"])
+    keys = [*by, "cluster"]
+    terms = materialize(candidates.select(*keys, "term", "score"), "candidates")
+    rows = F.count(F.lit(1)).alias("_rows")
+    best = F.min(F.struct((-F.col("score")).alias("_score"), "term")).alias("_best")
+    picks = terms.groupBy(*keys).agg(best, rows).select(
+        *keys,
+        "_rows",
+        (-F.col("_best._score")).alias("_top"),
+        F.array("_best.term").alias("_picked"),
+    )
     for _ in range(n - 1):
-
-        def gain(c):
-            closest = F.array_max(
-                F.transform("_picked", lambda p: _similarity(c["words"], p["words"]))
-            )
-            return F.round(
-                (1 - diversity) * c["score"] / F.col("_top") - diversity * closest, 9
-            )
-
-        taken = F.transform("_picked", lambda p: p["rank"])
-        left = F.filter("_all", lambda c: ~F.array_contains(taken, c["rank"]))
-        # Highest gain first, then the better candidate.
-        next_best = F.array_max(
-            F.transform(
-                left,
-                lambda c: F.struct(gain(c).alias("gain"), (-c["rank"]).alias("place"), c.alias("entry")),
+        joined = counted_lookup_join(
+            terms, materialize(picks, "picks"), keys, ["term"], "_rows", how="inner"
+        )
+        closest = F.array_max(
+            F.transform("_picked", lambda p: _similarity(F.col("_words"), _words(p)))
+        )
+        gain = F.round(
+            (1 - diversity) * F.col("score") / F.col("_top") - diversity * closest, 9
+        )
+        place = F.struct((-gain).alias("_gain"), (-F.col("score")).alias("_score"), "term")
+        best = F.min(F.when(~F.array_contains("_picked", F.col("term")), place)).alias("_best")
+        picks = (
+            joined.withColumn("_words", _words(F.col("term")))
+            .groupBy(*keys, "_top", "_picked")
+            .agg(best, rows)
+            .select(
+                *keys,
+                "_rows",
+                "_top",
+                F.when(F.col("_best").isNull(), F.col("_picked"))
+                .otherwise(F.concat("_picked", F.array("_best.term")))
+                .alias("_picked"),
             )
         )
-        df = df.withColumn("_next", next_best["entry"]).withColumn(
-            "_picked",
-            F.when(F.col("_next").isNull(), F.col("_picked")).otherwise(
-                F.concat("_picked", F.array("_next"))
-            ),
-        ).drop("_next")
-    return df.select(
-        *by, "cluster", F.transform("_picked", lambda p: p["term"]).alias("keywords")
-    )
+    return picks.select(*keys, F.col("_picked").alias("keywords"))
 
 
 def cluster_topics(

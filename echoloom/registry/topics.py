@@ -12,8 +12,7 @@ from echoloom.sources import fixtures
 from echoloom.workspace import materialize
 
 VOCABULARY = f"""tokens AS (SELECT review_id, unnest({words('content')}) AS term FROM reviews),
-    vocabulary AS (SELECT term, count(*) AS uses, count(DISTINCT review_id) AS documents FROM tokens
-      GROUP BY term ORDER BY uses DESC, term LIMIT 10000),
+    vocabulary AS (SELECT term, count(DISTINCT review_id) AS documents FROM tokens GROUP BY term),
     places AS (SELECT term, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 256 AS dim,
       CASE WHEN substr(md5(term), 9, 1) < '8' THEN 1 ELSE -1 END
         * (ln((1.0 + (SELECT count(*) FROM reviews)) / (1.0 + documents)) + 1) AS w FROM vocabulary),
@@ -50,7 +49,7 @@ def reduce_dims(spark, sf_dir):
 
 @query("reduce_text")
 def reduce_text(spark, sf_dir):
-    embedded = _embedded(spark, sf_dir)
+    embedded = materialize(_embedded(spark, sf_dir).select("review_id", "embedding"), "embedded")
     return topics.reduce_dims(embedded, topics.fit_reducer(embedded)).select("review_id", "reduced")
 
 
@@ -140,14 +139,13 @@ def _candidates_sql(by: str) -> str:
     means AS (SELECT {by}avg(n) AS mean FROM sizes {'GROUP BY app_id' if by else ''}),
     scored AS (SELECT {'t.app_id, ' if by else ''}t.cluster, t.term, t.uses, round(t.uses * ln(1.0 + mean / everywhere), 9) AS score
       FROM terms t JOIN overall ON {on.format('overall')}t.term = overall.term JOIN means ON {on.format('means')}TRUE),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY {by}cluster ORDER BY score DESC, term) AS r FROM scored),
-    best AS (SELECT * FROM ranked WHERE r <= 20)"""
+    best AS (SELECT *, row_number() OVER (PARTITION BY {by}cluster ORDER BY score DESC, term) AS r FROM scored)"""
 
 
 @query(
     "keyword_candidates",
     f"""WITH {_candidates_sql('')}
-    SELECT cluster, term, uses, round(score, 6) AS score, CAST(r AS INT) AS rank FROM best""",
+    SELECT cluster, term, uses, round(score, 6) AS score FROM scored""",
 )
 def keyword_candidates(spark, sf_dir):
     found = topics.keyword_candidates(fixtures.clustered(spark, sf_dir), stop_words=STOP_WORDS)

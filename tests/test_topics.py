@@ -148,6 +148,23 @@ def test_embedding_is_unit_and_deterministic(spark):
     assert abs(rows[1] @ rows[5]) < 0.8
 
 
+def test_embedding_keeps_rare_and_unseen_words(spark):
+    common = [(i, f"common words {i % 7}") for i in range(50)]
+    df = spark.createDataFrame([*common, (90, "quixotic")], "review_id bigint, content string")
+    embedder = topics.fit_embedder(df)
+    later = spark.createDataFrame([(90, "quixotic", 1), (91, "zyzzyva", 2)], "review_id bigint, content string, term int")
+    rows = {r["review_id"]: np.array(r["embedding"]) for r in topics.embed_text(later, embedder).collect()}
+    assert all(np.linalg.norm(v) == pytest.approx(1) for v in rows.values())
+    assert np.count_nonzero(rows[90]) == 1
+
+
+def test_every_term_competes_for_a_keyword(spark):
+    # The 30 best terms share a word, so the diverse pick comes after them.
+    alike = [("a", 0, f"battery drain{i:02d}", 100.0 - i) for i in range(30)]
+    df = spark.createDataFrame([*alike, ("a", 0, "design", 65.0)], "app_id string, cluster int, term string, score double")
+    assert topics.diverse_keywords(df, ["app_id"], 2).first()["keywords"] == ["battery drain00", "design"]
+
+
 def test_reducer(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in np.r_[rng.normal(size=2) * 5, rng.normal(size=6) * 0.01]]) for i in range(80)]
