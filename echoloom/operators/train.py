@@ -19,7 +19,7 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echoloom.constants import SPLIT_SEED
+from echoloom.constants import MAX_TERMS, SPLIT_SEED
 from echoloom.functions.labels import decode_label, encode_label
 from echoloom.functions.text import normalize_for_scoring
 from echoloom.operators.evaluate import eval_metrics
@@ -84,7 +84,12 @@ FAMILIES: dict[str, Callable[..., Estimator]] = {
 
 # The ten variants of the grid.
 GRID: dict[str, list[dict]] = {
-    "LogisticRegression": [{"C": 0.01}, {"C": 0.1}, {"C": 1.0}, {"C": 10.0}],
+    "LogisticRegression": [
+        {"C": 0.01, "max_iter": 1000},
+        {"C": 0.1, "max_iter": 1000},
+        {"C": 1.0, "max_iter": 1000},
+        {"C": 10.0, "max_iter": 1000},
+    ],
     "RandomForest": [
         {"n_estimators": 50, "max_depth": None},
         {"n_estimators": 100, "max_depth": None},
@@ -97,6 +102,9 @@ GRID: dict[str, list[dict]] = {
     ],
 }
 
+# The settings that all variants share and every run records.
+SHARED = {"vectorizer": "TF-IDF", "max_features": MAX_TERMS, "ngram_range": "(1,2)"}
+
 
 # --- training and scoring ----------------------------------------------------
 
@@ -172,7 +180,7 @@ def grid_search(
             "run_id": f"{batch}-{family}-{number}",
             "model": family,
             "status": FINISHED,
-            "params": {k: str(v) for k, v in params.items()},
+            "params": {k: str(v) for k, v in {**SHARED, **params}.items()},
             **metrics.asDict(),
         }
         return TrainedModel(run, PipelineModel([*tfidf.stages, fitted]))

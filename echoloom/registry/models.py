@@ -3,31 +3,32 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echoloom.constants import LABELS, NEGATIVE, NEUTRAL, POSITIVE, Warehouse
+from echoloom.constants import LABELS, LAYERS, ML, ML_MODELS, NEGATIVE, NEUTRAL, POSITIVE, Warehouse
 from echoloom.functions.text import clean_text
 from echoloom.operators import evaluate, features, runs, split, train
 from echoloom.plans import ml
 from echoloom.registry.core import LABELLED, REVIEWS, query, words
-from echoloom.sources import fixtures
+from echoloom.sources import fixtures, writers
 from echoloom.workspace import materialize, scratch_path
 
-# A grid small enough for a check: one variant per family.
-SMALL_GRID = {
-    "LogisticRegression": [{"C": 1.0, "max_iter": 100}],
-    "RandomForest": [{"n_estimators": 20, "max_depth": 10}],
-    "GradientBoosting": [{"learning_rate": 0.1, "n_estimators": 5}],
-}
+def _split_stored(reviews: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows, split once and stored."""
+    marked = materialize(split.mark_split(reviews), "split")
+    return marked.filter(~F.col("is_test")), marked.filter("is_test")
 
 
 def _split_gold(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows, split once and stored."""
-    marked = materialize(split.mark_split(_gold(spark, sf_dir)), "split")
-    return marked.filter(~F.col("is_test")), marked.filter("is_test")
+    return _split_stored(_gold(spark, sf_dir))
+
+
+def _split_reviews(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    return _split_stored(fixtures.reviews_with_sentiment(spark, sf_dir))
 
 
 def _gold(spark, sf_dir) -> DataFrame:
@@ -99,7 +100,7 @@ VOCABULARY = f"""train AS (SELECT * FROM ranked WHERE r > floor(0.2 * n + 0.5)),
     f"WITH {LABELLED}, {SPLIT}, {VOCABULARY} SELECT term, uses, documents FROM vocabulary",
 )
 def vocabulary(spark, sf_dir):
-    training, _ = split.stratified_split(fixtures.reviews_with_sentiment(spark, sf_dir))
+    training, _ = _split_reviews(spark, sf_dir)
     return features.vocabulary(features.term_statistics(training, longest=2))
 
 
@@ -115,7 +116,7 @@ def vocabulary(spark, sf_dir):
     FROM train t LEFT JOIN norms ON t.review_id = norms.review_id""",
 )
 def tfidf_features(spark, sf_dir):
-    training, _ = split.stratified_split(fixtures.reviews_with_sentiment(spark, sf_dir))
+    training, _ = _split_reviews(spark, sf_dir)
     vectors = features.tfidf_model(training).transform(training)
     weights = F.filter(vector_to_array("features"), lambda w: w != 0)
     return vectors.select("review_id", weights.alias("w")).select(
@@ -259,17 +260,17 @@ def _trained(name: str, family: str, **params) -> None:
         )
 
 
-_trained("train_logreg", "LogisticRegression", C=1.0, max_iter=100)
-_trained("train_rf", "RandomForest", n_estimators=20, max_depth=10)
-_trained("train_gbt", "GradientBoosting", n_estimators=5)
-_trained("train_svm", "LinearSVM", max_iter=100)
-_trained("train_xgb", "DeepBoosting", n_estimators=5)
+_trained("train_logreg", "LogisticRegression", C=1.0)
+_trained("train_rf", "RandomForest")
+_trained("train_gbt", "GradientBoosting")
+_trained("train_svm", "LinearSVM")
+_trained("train_xgb", "DeepBoosting")
 
 
 @query("grid_search")
 def grid_search(spark, sf_dir):
     training, test = _split_gold(spark, sf_dir)
-    found = train.grid_search(training, test, SMALL_GRID)
+    found = train.grid_search(training, test)
     return spark.createDataFrame(
         [(t.run["model"], t.run["f1_weighted"], t.run["accuracy"]) for t in found],
         "model string, f1_weighted double, accuracy double",
@@ -278,7 +279,7 @@ def grid_search(spark, sf_dir):
 
 def _scored(spark, sf_dir):
     training, test = _split_gold(spark, sf_dir)
-    model = train.train_one(training, "LogisticRegression", C=1.0, max_iter=100)
+    model = train.train_one(training, "LogisticRegression", C=1.0)
     return model, test, _gold(spark, sf_dir)
 
 
@@ -294,6 +295,105 @@ def score_reviews(spark, sf_dir):
     return train.score_reviews(model, gold.drop("sentiment"), normalize=True)
 
 
+HELD_OUT = f"""WITH {LABELLED}, {SPLIT}, held_out AS (SELECT * FROM ranked WHERE r <= floor(0.2 * n + 0.5))"""
+
+
+def _facts(rows: DataFrame, label: str) -> DataFrame:
+    """How many rows, reviews, and labels out of the domain a scored table has."""
+    return rows.agg(
+        F.count(F.lit(1)).alias("scored"),
+        F.countDistinct("review_id").alias("reviews"),
+        F.count_if(~F.col(label).isin(*LABELS) | F.col(label).isNull()).alias("no_label"),
+    )
+
+
+@query(
+    "predict_batch_facts",
+    f"""{HELD_OUT} SELECT count(*) AS scored, count(DISTINCT review_id) AS reviews, CAST(0 AS BIGINT) AS no_label
+    FROM held_out""",
+)
+def predict_batch_facts(spark, sf_dir):
+    """Each held-out review once, with a label of the domain."""
+    model, test, _ = _scored(spark, sf_dir)
+    return _facts(train.predict_batch(model, test), "predicted_sentiment")
+
+
+@query(
+    "score_reviews_facts",
+    f"""WITH {REVIEWS} SELECT normalized, count(*) AS scored, count(DISTINCT review_id) AS reviews,
+      CAST(0 AS BIGINT) AS no_label FROM reviews, (VALUES (FALSE), (TRUE)) AS t(normalized) GROUP BY normalized""",
+)
+def score_reviews_facts(spark, sf_dir):
+    """Each review once in both settings of the text."""
+    model, _, gold = _scored(spark, sf_dir)
+    plain, lowered = (
+        _facts(train.score_reviews(model, gold.drop("sentiment"), normalize=flag), "sentiment").withColumn(
+            "normalized", F.lit(flag)
+        )
+        for flag in (False, True)
+    )
+    return plain.unionByName(lowered)
+
+
+@query(
+    "sink_model",
+    f"{HELD_OUT} SELECT review_id, sentiment, TRUE AS same FROM held_out",
+)
+def sink_model(spark, sf_dir):
+    """A stored model, read again, gives the held-out reviews the same labels."""
+    model, test, _ = _scored(spark, sf_dir)
+    again = writers.load_model(writers.sink_model(model, scratch_path(spark, "model")))
+    both = train.predict_batch(again, test).withColumnRenamed("predicted_sentiment", "again")
+    first = train.predict_batch(model, test).select("review_id", "predicted_sentiment")
+    return both.join(first, "review_id").select(
+        "review_id",
+        F.col("actual_sentiment").alias("sentiment"),
+        F.col("again").eqNullSafe(F.col("predicted_sentiment")).alias("same"),
+    )
+
+
+def _own_warehouse() -> Warehouse:
+    return Warehouse(prefix=f"w{uuid.uuid4().hex[:12]}_")
+
+
+@query(
+    "register_best",
+    f"""WITH {CELLS}, best AS (SELECT run_id, f1_weighted FROM metrics WHERE run_id <> 'Lines-6'
+      ORDER BY f1_weighted DESC, accuracy DESC, run_id LIMIT 1)
+    SELECT CAST(version AS INT) AS version, run_id, 'models/' || version AS path, f1_weighted
+    FROM best, (VALUES (1), (2)) AS t(version)""",
+)
+def register_best(spark, sf_dir):
+    """The best rule run registered twice, as versions 1 and 2."""
+    warehouse = _own_warehouse()
+    writers.create_schemas(spark, warehouse, [ML], scratch_path(spark, "models"))
+    best = materialize(runs.best_run(_rule_runs(spark, sf_dir), "rules"), "best")
+    table = warehouse.table(ML, ML_MODELS)
+    for version in (1, 2):
+        models = runs.register_best(spark, best, f"models/{version}", table)
+    return models
+
+
+@query(
+    "ddl_namespace",
+    f"""WITH {LABELLED} SELECT layer, sentiment, count(*) AS n FROM labelled,
+      (VALUES ('bronze'), ('silver'), ('gold'), ('ml')) AS t(layer) GROUP BY layer, sentiment""",
+)
+def ddl_namespace(spark, sf_dir):
+    """One schema per layer, each taking a table of the reviews' sentiments."""
+    warehouse = _own_warehouse()
+    writers.create_schemas(spark, warehouse, location=scratch_path(spark, "layers"))
+    reviews = fixtures.reviews_with_sentiment(spark, sf_dir).select("review_id", "sentiment")
+    stored = [
+        writers.sink_table(reviews, warehouse.table(layer, "reviews"))
+        .groupBy("sentiment")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("layer", F.lit(layer))
+        for layer in LAYERS
+    ]
+    return reduce(DataFrame.unionByName, stored)
+
+
 @query(
     "join_predictions",
     f"""WITH {PREDICTIONS} SELECT review_id, content, predicted_sentiment AS sentiment
@@ -315,8 +415,7 @@ def training_run(spark, sf_dir):
     result = ml.run_training(
         spark,
         _gold(spark, sf_dir),
-        Warehouse(prefix=f"w{uuid.uuid4().hex[:12]}_"),
+        _own_warehouse(),
         scratch_path(spark, "tables"),
-        grid=SMALL_GRID,
     )
     return result.predictions

@@ -219,5 +219,5 @@ def analyze_apps(spark, sf_dir):
         fixtures.reviews_with_sentiment(spark, sf_dir).drop("lang", "score"), "reviews"
     )
     training, _ = split.stratified_split(reviews)
-    model = train.train_one(training, "LogisticRegression", C=1.0, max_iter=100)
+    model = train.train_one(training, "LogisticRegression", C=1.0)
     return analyze(reviews, model)
