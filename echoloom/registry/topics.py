@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from echoloom.operators import density, neighbours, split, topics, train
@@ -47,6 +50,28 @@ def reduce_dims(spark, sf_dir):
     )
 
 
+@query(
+    "reduce_dims_facts",
+    """SELECT count(*) AS n, CAST(10 AS INT) AS fewest, CAST(10 AS INT) AS most, TRUE AS descending, TRUE AS uncorrelated
+    FROM embeddings""",
+)
+def reduce_dims_facts(spark, sf_dir):
+    """Every vector has ten axes of descending variance that do not correlate."""
+    vectors = fixtures.table(spark, sf_dir, "embeddings")
+    reduced = topics.reduce_dims(vectors, topics.fit_reducer(vectors))
+    axes = [F.get("reduced", F.lit(i)) for i in range(topics.REDUCED)]
+    spread = [F.var_pop(axis) for axis in axes]
+    falls = [a >= b for a, b in zip(spread, spread[1:])]
+    ties = [F.abs(F.corr(a, b)) for i, a in enumerate(axes) for b in axes[:i]]
+    return reduced.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.size("reduced")).alias("fewest"),
+        F.max(F.size("reduced")).alias("most"),
+        reduce(and_, falls).alias("descending"),
+        (F.greatest(*ties) < 0.001).alias("uncorrelated"),
+    )
+
+
 @query("reduce_text")
 def reduce_text(spark, sf_dir):
     embedded = materialize(_embedded(spark, sf_dir).select("review_id", "embedding"), "embedded")
@@ -106,6 +131,43 @@ def knn_graph_by_label(spark, sf_dir):
     )
 
 
+@query(
+    "components_within",
+    """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    pairs AS (SELECT a.vec_id AS src, b.vec_id AS dst, round(list_distance(a.e, b.e), 9) AS d
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+    near AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY d, dst) AS r FROM pairs)
+      WHERE r <= 10 AND d <= 1.1),
+    ways AS (SELECT src AS a, dst AS b FROM near UNION SELECT dst, src FROM near),
+    reach AS (SELECT vec_id, vec_id AS at FROM v UNION SELECT reach.vec_id, ways.b FROM reach JOIN ways ON reach.at = ways.a)
+    SELECT vec_id, min(at) AS comp FROM reach GROUP BY vec_id""",
+)
+def components_within(spark, sf_dir):
+    vectors = fixtures.table(spark, sf_dir, "embeddings")
+    return density.components_within(vectors, 1.1, 10, key="vec_id")
+
+
+@query(
+    "density_cluster_facts",
+    """SELECT count(*) AS n, count(DISTINCT doc_id) AS reviews, CAST(0 AS BIGINT) AS too_small, TRUE AS numbered
+    FROM documents""",
+)
+def density_cluster_facts(spark, sf_dir):
+    """Clusters of the text vectors: each review once, none below the least size, numbered 0, 1, ..."""
+    embedded = materialize(_embedded(spark, sf_dir).select("review_id", "embedding"), "embedded")
+    reduced = topics.reduce_dims(embedded, topics.fit_reducer(embedded)).select("review_id", "reduced")
+    found = materialize(density.density_cluster(reduced, vector="reduced"), "found")
+    size, _ = density.density_params(found.agg(F.count(F.lit(1))).scalar())
+    clusters = found.filter(F.col("cluster") >= 0).groupBy("cluster").count()
+    small = clusters.agg(F.count_if(F.col("count") < size)).scalar()
+    numbered = F.coalesce(F.max("cluster") + 1, F.lit(0)) == F.count(F.lit(1))
+    return found.agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("review_id").alias("reviews")
+    ).select(
+        "n", "reviews", small.alias("too_small"), clusters.agg(numbered).scalar().alias("numbered")
+    )
+
+
 @query("density_cluster")
 def density_cluster(spark, sf_dir):
     vectors = fixtures.table(spark, sf_dir, "embeddings")
