@@ -139,8 +139,8 @@ def knn_graph_by_label(spark, sf_dir):
     near AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY d, dst) AS r FROM pairs)
       WHERE r <= 10 AND d <= 1.1),
     ways AS (SELECT src AS a, dst AS b FROM near UNION SELECT dst, src FROM near),
-    reach AS (SELECT vec_id, vec_id AS at FROM v UNION SELECT reach.vec_id, ways.b FROM reach JOIN ways ON reach.at = ways.a)
-    SELECT vec_id, min(at) AS comp FROM reach GROUP BY vec_id""",
+    reach AS (SELECT vec_id, vec_id AS node FROM v UNION SELECT reach.vec_id, ways.b FROM reach JOIN ways ON reach.node = ways.a)
+    SELECT vec_id, min(node) AS comp FROM reach GROUP BY vec_id""",
 )
 def components_within(spark, sf_dir):
     vectors = fixtures.table(spark, sf_dir, "embeddings")
