@@ -19,6 +19,13 @@ def _all_salts(salts: int) -> Column:
     return F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
 
 
+def _any_null(columns: Sequence[str]) -> Column:
+    missing = F.lit(False)
+    for column in columns:
+        missing = missing | F.col(column).isNull()
+    return missing
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -32,12 +39,15 @@ def lookup_join(
     No broadcast is forced: Spark broadcasts ``dim`` when its measured size is
     below the threshold.  Beyond it the shuffle key carries a salt taken from
     the row's own key, so a key that owns a third of ``facts`` is still spread
-    over ``salts`` tasks; only the small side is copied.
+    over ``salts`` tasks; only the small side is copied.  Facts with a null in
+    the key match nothing and go everywhere.
 
     The salt is never null, so Spark pushes no extra filter below ``facts`` and
     an exchange that ``facts`` and ``dim`` have in common is reused.
     """
-    salted_facts = facts.withColumn("_salt", _salt(spread_by, salts))
+    missing = _any_null(on)
+    salt = F.when(missing, F.xxhash64(*spread_by)).otherwise(_salt(spread_by, salts))
+    salted_facts = facts.withColumn("_salt", salt)
     salted_dim = dim.withColumn("_salt", F.explode(_all_salts(salts)))
     return salted_facts.join(salted_dim, [*on, "_salt"], how).drop("_salt")
 
@@ -77,9 +87,7 @@ def counted_lookup_join(
         *on, F.ceil(F.col("_rows") / share).cast("bigint").alias("_salts")
     )
     none = F.lit(0).cast("bigint")
-    missing = F.lit(False)
-    for column in on:
-        missing = missing | F.col(column).isNull()
+    missing = _any_null(on)
     digest = F.xxhash64(*spread_by)
     salt = (
         F.when(missing, F.pmod(digest, F.lit(parts).cast("bigint")))

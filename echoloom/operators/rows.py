@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from echoloom.constants import NOISE, RESULT_TTL_SECONDS, UNCATEGORIZED, UNKNOWN_TOPIC
 from echoloom.functions.text import tokenize
-from echoloom.operators.keyed import first_per_group, lookup_join
+from echoloom.operators.keyed import counted_lookup_join, first_per_group, lookup_join
 
 
 def project_columns(df: DataFrame, *columns: str) -> DataFrame:
@@ -105,8 +105,12 @@ def join_cluster_topic(
     by: Sequence[str] = (),
     key: str = "review_id",
 ) -> DataFrame:
-    """Topic of each cluster; null where the cluster has none."""
-    return lookup_join(clustered, cluster_topics, [*by, "cluster"], [key])
+    """Topic of each cluster; null where the cluster has none.
+
+    Clusters are counted first, as noise may own a third of the rows, so
+    ``clustered`` should be stored.
+    """
+    return counted_lookup_join(clustered, cluster_topics, [*by, "cluster"], [key])
 
 
 def join_clean_topic(
@@ -115,17 +119,18 @@ def join_clean_topic(
     """Readable name of each topic.
 
     The uncategorised topic keeps its name, a topic without a name becomes
-    Unknown Topic, a missing topic stays null.
+    Unknown Topic, a missing topic stays null.  The uncategorised and the missing
+    ones look nothing up, however many they are.
     """
-    named = lookup_join(
-        clustered, topic_names.withColumnRenamed("clean_topic", "_name"), ["topic"], [key]
-    )
+    looked_up = F.when(F.col("topic") != UNCATEGORIZED, F.col("topic"))
+    names = topic_names.withColumnsRenamed({"topic": "_topic", "clean_topic": "_name"})
+    named = lookup_join(clustered.withColumn("_topic", looked_up), names, ["_topic"], [key])
     return named.withColumn(
         "clean_topic",
         F.when(F.col("topic").isNull(), F.lit(None))
         .when(F.col("topic") == UNCATEGORIZED, F.col("topic"))
         .otherwise(F.coalesce(F.trim("_name"), F.lit(UNKNOWN_TOPIC))),
-    ).drop("_name")
+    ).drop("_name", "_topic")
 
 
 def join_predictions(

@@ -22,7 +22,7 @@ from echoloom.registry.core import (
     words,
 )
 from echoloom.sources import fixtures, readers, writers
-from echoloom.workspace import scratch_path
+from echoloom.workspace import materialize, scratch_path
 
 SOURCE = "parquet.documents"
 BATCH_DATE = "2024-01-31"
@@ -409,7 +409,8 @@ def join_cluster_topic(spark, sf_dir):
         .groupBy("cluster")
         .agg(F.concat_ws(" | ", F.min("clean_topic"), F.max("clean_topic")).alias("topic"))
     )
-    return rows.join_cluster_topic(df.select("review_id", "cluster"), topics)
+    stored = materialize(df.select("review_id", "cluster"), "clustered")
+    return rows.join_cluster_topic(stored, topics)
 
 
 @query(

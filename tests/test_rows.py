@@ -151,6 +151,29 @@ def test_lookup_joins_agree_with_plain_join(spark, skewed):
     assert sorted(counted.select(order).collect(), key=str) == plain
 
 
+def test_more_heavy_keys_than_a_thousand(spark):
+    facts = spark.range(6_000).select("id", (F.col("id") % 2_000).alias("k"))
+    dim = facts.groupBy("k").agg(F.max("id").alias("v"), F.count("*").alias("n"))
+    joined = keyed.counted_lookup_join(facts, dim, ["k"], ["id"], "n", hot_rows=1)
+    assert joined.count() == 6_000
+    assert joined.filter("v % 2000 <> k or v < 4000").count() == 0
+
+
+def test_rows_without_a_key_are_spread(spark):
+    facts = spark.range(8_000).select("id", F.when(F.col("id") % 2 == 0, F.col("id") % 7).alias("k"))
+    dim = spark.range(7).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = keyed.lookup_join(facts, dim, ["k"], ["id"], salts=1)
+        missing = joined.filter("v is null").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in missing) == 4_000
+    assert len(missing) == 8 and max(r["count"] for r in missing) < 1_000
+
+
 def test_hot_key_is_spread(spark, skewed):
     dim = skewed.groupBy("k").agg(F.count("*").alias("n"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
