@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +41,9 @@ INLINE = frozenset(
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements whose start ends an open element of the same group.
 CLOSED_BY_SELF = frozenset("p li dt dd tr td th option".split())
+# Elements that such a start does not reach beyond.
+CONTAINERS = frozenset("ul ol dl table div".split()) | INSIDE
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words of class, id and role that mark what surrounds an article.
 SURROUNDINGS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|popup|modal|overlay"
@@ -73,6 +78,18 @@ WORD = re.compile(r"[^\W\d_]+")
 GOOD, BAD, SHORT_BLOCK, NEAR_GOOD = "good", "bad", "short", "near"
 
 
+class Open(NamedTuple):
+    """An open element, and what it or an element around it is."""
+
+    name: str = ""
+    hidden: bool = False
+    outside: bool = False
+    inside: bool = False
+    link: bool = False
+    heading: bool = False
+
+
+
 @dataclass
 class Block:
     """Text between block elements, and where it lies."""
@@ -86,31 +103,42 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """Blocks of a page in order, without scripts, styles, comments and hidden elements."""
+    """Blocks of a page in order, without scripts, styles, comments and hidden elements.
+
+    An element knows what lies around it, so the work grows with the page alone,
+    however deep its elements are nested.
+    """
     found: list[Block] = []
     parts: list[str] = []
     linked = 0
-    # Open elements: name, hidden, outside, inside.
-    stack: list[tuple[str, bool, bool, bool]] = []
+    stack = [Open()]
+    names: Counter[str] = Counter()  # open elements by name
 
     def end_block() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            _, hidden, outside, inside = stack[-1] if stack else ("", False, False, False)
-            heading = any(re.fullmatch(r"h[1-6]", s[0]) for s in stack)
-            found.append(Block(text, linked, inside, outside, heading))
+            top = stack[-1]
+            found.append(Block(text, linked, top.inside, top.outside, top.heading))
         parts.clear()
         linked = 0
 
     def add(text: str) -> None:
         nonlocal linked
-        if stack and stack[-1][1]:
+        if stack[-1].hidden:
             return
         parts.append(text)
-        if any(s[0] == "a" for s in stack):
+        if stack[-1].link:
             linked += len(" ".join(text.split()))
 
+    def close(name: str) -> None:
+        """End the innermost element called ``name`` and all within it."""
+        while True:
+            ended = stack.pop().name
+            names[ended] -= 1
+            if ended == name:
+                return
+
     at, size = 0, len(page)
     while at < size:
         tag = TAG.search(page, at)
@@ -128,19 +156,19 @@ def blocks(page: str) -> list[Block]:
         elif name == "br":
             add(" ")
         if tag.group(1):
-            if any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
-                    pass
+            if names[name]:
+                close(name)
             continue
         attributes = tag.group(3) or ""
         if name in EMPTY or attributes.endswith("/") and name in ("svg", "path"):
             continue
-        if name in CLOSED_BY_SELF and any(s[0] == name for s in stack):
+        if name in CLOSED_BY_SELF and names[name]:
             # An open one of the same kind ends here, unless a container lies between.
-            place = max(i for i, s in enumerate(stack) if s[0] == name)
-            if not any(s[0] in ("ul", "ol", "dl", "table", "div", *INSIDE) for s in stack[place + 1 :]):
-                del stack[place:]
-        _, hidden, outside, inside = stack[-1] if stack else ("", False, False, False)
+            nearest = next(e.name for e in reversed(stack) if e.name == name or e.name in CONTAINERS)
+            if nearest == name:
+                close(name)
+        around = stack[-1]
+        inside, outside = around.inside, around.outside
         values = " ".join(v.strip("\"'") for _, v in ATTRIBUTE.findall(attributes))
         if name in INSIDE and not outside:
             inside = True
@@ -150,13 +178,15 @@ def blocks(page: str) -> list[Block]:
             outside = True
         if name not in ("html", "body", *INSIDE) and values and SURROUNDINGS.search(values):
             outside = True
-        hidden = hidden or name in HIDDEN or bool(CONCEALED.search(attributes))
+        hidden = around.hidden or name in HIDDEN or bool(CONCEALED.search(attributes))
         if name in RAW:
             # Its content is not markup; it ends at its own end tag only.
-            close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-            at = close.end() if close else size
+            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+            at = end.end() if end else size
             continue
-        stack.append((name, hidden, outside, inside))
+        link, heading = around.link or name == "a", around.heading or name in HEADINGS
+        stack.append(Open(name, hidden, outside, inside, link, heading))
+        names[name] += 1
     end_block()
     return found
 

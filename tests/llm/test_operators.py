@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -213,6 +214,16 @@ def test_pages(page, text):
     assert html_blocks.main_text(page) == text
 
 
+def test_deep_pages_take_time_by_their_length():
+    def seconds(n):
+        start = time.perf_counter()
+        assert html_blocks.main_text("<div><b>word " * n).count("word") == n
+        return time.perf_counter() - start
+
+    # With n open elements around each, 16 times as many would take 256 times as long.
+    assert seconds(16_000) < 80 * max(seconds(1_000), 0.005)
+
+
 def test_block_rules_without_an_article():
     long = "This is the story of a man who was in the city and had not been there for years. " * 4
     page = f"<div><a href=a>Home</a></div><p>{long}</p><p>Yes.</p><p>{long}</p><div><a href=b>Next</a> one</div>"
