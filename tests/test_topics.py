@@ -226,11 +226,13 @@ def test_analysis_end_to_end(spark):
     assert result[0]["topics"] and result[0]["top_negative_topics"]
 
 
-def test_spanning_forest_keeps_components_at_every_cut(spark):
+@pytest.mark.parametrize("local_edges", [50_000, 40])
+def test_spanning_forest_keeps_components_at_every_cut(spark, local_edges):
     rng = np.random.default_rng(5)
     edges = [("g", int(a), int(b), float(w)) for (a, b), w in zip(rng.integers(0, 60, size=(200, 2)), rng.integers(1, 30, size=200)) if a != b]
     df = spark.createDataFrame(edges, "grp string, u bigint, v bigint, length double")
-    forest = [tuple(r) for r in density.spanning_forest(df, ["grp"]).select("grp", "u", "v", "length").collect()]
+    found = density.spanning_forest(df, ["grp"], local_edges)
+    forest = [tuple(r) for r in found.select("grp", "u", "v", "length").collect()]
 
     def components(rows, cut):
         parent = list(range(60))
