@@ -58,8 +58,46 @@ def jdbc_scan_options(
     return options
 
 
-def scan_jdbc(spark: SparkSession, database_url: str, **options) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_scan_options(database_url, **options)).load()
+def jdbc_bounds_options(
+    database_url: str, table: str = SOURCE_TABLE, partition_column: str = "review_id"
+) -> dict[str, str]:
+    """Options of the query for the smallest and largest key, answered by the database."""
+    column = f'"{partition_column}"'
+    query = f'SELECT min({column}) AS low, max({column}) AS high FROM "{table}"'
+    return jdbc_options(database_url) | {"query": query}
+
+
+def scan_jdbc(
+    spark: SparkSession,
+    database_url: str,
+    table: str = SOURCE_TABLE,
+    partition_column: str | None = "review_id",
+    lower_bound: int | None = None,
+    upper_bound: int | None = None,
+    **options,
+) -> DataFrame:
+    """Read a table over many connections, each a range of ``partition_column`` (a whole number).
+
+    Without bounds the database is asked for them first.  A table without rows,
+    or without a ``partition_column`` (None), is read over one connection.
+    """
+    if partition_column is None:
+        split: dict = {}
+    else:
+        if lower_bound is None or upper_bound is None:
+            bounds = jdbc_bounds_options(database_url, table, partition_column)
+            low, high = spark.read.format("jdbc").options(**bounds).load().first()
+            lower_bound = low if lower_bound is None else lower_bound
+            upper_bound = high if upper_bound is None else upper_bound
+        if lower_bound is not None and upper_bound is not None:
+            upper_bound = max(upper_bound, lower_bound + 1)  # Spark takes no range whose bounds are equal
+        split = {
+            "partition_column": partition_column,
+            "lower_bound": lower_bound,
+            "upper_bound": upper_bound,
+        }
+    scan = jdbc_scan_options(database_url, table, **split, **options)
+    return spark.read.format("jdbc").options(**scan).load()
 
 
 def scan_csv(

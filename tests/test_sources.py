@@ -42,10 +42,49 @@ def test_jdbc_options():
     assert (options["partitionColumn"], options["numPartitions"]) == ("review_id", "16")
     assert "partitionColumn" not in readers.jdbc_scan_options(URL)
     assert writers.jdbc_write_options(URL)["batchsize"] == "500"
+    assert writers.jdbc_write_options(URL, connections=4)["numPartitions"] == "4"
+    bounds = readers.jdbc_bounds_options(URL, partition_column="id")
+    assert bounds["query"] == 'SELECT min("id") AS low, max("id") AS high FROM "raw_reviews"'
+    assert "dbtable" not in bounds
     with pytest.raises(ValueError):
         readers.jdbc_options("mysql://me:x@db/reviews")
 
 
+class Reader:
+    """Stands in for Spark's reader: notes the options and answers the query for bounds."""
+
+    def __init__(self, seen, answer):
+        self.read, self.seen, self.answer = self, seen, answer
+
+    def format(self, name):
+        return self
+
+    def options(self, **options):
+        self.seen.append(options)
+        return self
+
+    def load(self):
+        return self
+
+    def first(self):
+        return self.answer
+
+
+@pytest.mark.parametrize(
+    "answer, given, lower, upper",
+    [((3, 900), {}, "3", "900"), ((7, 7), {}, "7", "8"), ((None, None), {}, None, None),
+     ((None, None), {"upper_bound": 9}, None, None),
+     ((3, 900), {"lower_bound": 10}, "10", "900"), (None, {"lower_bound": 1, "upper_bound": 5}, "1", "5"),
+     (None, {"partition_column": None}, None, None)],
+)
+def test_jdbc_bounds_come_from_the_database(answer, given, lower, upper):
+    seen = []
+    readers.scan_jdbc(Reader(seen, answer), URL, **given)
+    assert len(seen) == (1 if answer is None else 2)
+    assert (seen[-1].get("lowerBound"), seen[-1].get("upperBound")) == (lower, upper)
+    assert ("partitionColumn" in seen[-1]) == (lower is not None)
+
+
 def test_csv_round_trip(spark, raw, tmp_path):
     path = str(tmp_path / "csv")
     writers.sink_csv(raw, path, raw.columns)
