@@ -7,6 +7,7 @@ from operator import and_
 
 from pyspark.sql import functions as F
 
+from echoloom.constants import NOISE, UNCATEGORIZED
 from echoloom.operators import density, neighbours, split, topics, train
 from echoloom.plans.analyze import analyze_apps as analyze
 from echoloom.plans.analyze import discover_topics
@@ -275,6 +276,23 @@ def topic_discovery(spark, sf_dir):
     return discover_topics(reviews).drop("content")
 
 
+@query(
+    "topic_discovery_facts",
+    """SELECT count(*) AS n, count(DISTINCT doc_id) AS reviews, CAST(0 AS BIGINT) AS noise_named,
+      CAST(0 AS BIGINT) AS several_topics FROM documents""",
+)
+def topic_discovery_facts(spark, sf_dir):
+    """Each review once, exactly the noise uncategorised, and one topic for each cluster of an app."""
+    found = materialize(topic_discovery(spark, sf_dir), "found")
+    noise, unnamed = F.col("cluster") == NOISE, F.col("topic") == UNCATEGORIZED
+    topics_of = found.groupBy("app_id", "cluster").agg(F.countDistinct("topic", "clean_topic").alias("topics"))
+    return found.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("review_id").alias("reviews"),
+        F.count_if(~noise.eqNullSafe(unnamed)).alias("noise_named"),
+    ).withColumn("several_topics", topics_of.agg(F.count_if(F.col("topics") != 1)).scalar())
+
+
 @query("analyze_apps")
 def analyze_apps(spark, sf_dir):
     reviews = materialize(
