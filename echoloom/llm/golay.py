@@ -298,7 +298,15 @@ def near_duplicates(
         marked.groupBy("fingerprint").agg(F.min(key).alias("_least"), F.count(F.lit(1)).alias("_rows")),
         "distinct",
     )
-    roots = component_roots(links(distinct, most)).withColumnRenamed("node", "fingerprint")
+    return named_components(marked, distinct, links(distinct, most), key)
+
+
+def named_components(marked: DataFrame, distinct: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """(key, fingerprint, component_id) of ``marked`` (key, fingerprint) by the links (a, b) in ``edges``.
+
+    ``distinct`` has every fingerprint once, with its least key and number of rows.
+    """
+    roots = component_roots(edges).withColumnRenamed("node", "fingerprint")
     placed = distinct.join(roots, "fingerprint", "inner")
     members = materialize(
         placed.groupBy("root").agg(F.min("_least").alias("_first"), F.count(F.lit(1)).alias("_nodes")),
@@ -323,7 +331,11 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     Rows with a null key stay: nothing tells them apart.
     """
-    found = near_duplicates(docs, key, text)
+    return drop_others(docs, near_duplicates(docs, key, text), key)
+
+
+def drop_others(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the keys that ``found`` puts into the component of another key."""
     gone = materialize(
         found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct(),
         "dropped",
