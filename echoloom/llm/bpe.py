@@ -15,7 +15,7 @@ import hashlib
 import json
 import string
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import regex
@@ -335,10 +335,16 @@ def encode_documents(
 
 
 def encoded_digests(
-    docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    vocabulary: str,
+    key: str = "doc_id",
+    text: str = "text",
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256): what :func:`encode_documents` gives, hashed in the task.
 
+    Columns of ``docs`` named in ``carried`` follow as they are.
+
     The ids and the decoded text of each stretch are remembered as text, so they
     need not cross to the JVM.  Characters that Unicode added after the library's own
     tables may be cut differently.
@@ -362,12 +368,14 @@ def encoded_digests(
                     pa.array(counts, pa.int64()),
                     pa.array(ids, pa.string()),
                     pa.array(decoded, pa.string()),
+                    *(batch.column(2 + i) for i in range(len(carried))),
                 ],
-                [key, "n_tokens", "ids_sha256", "decoded_sha256"],
+                [key, "n_tokens", "ids_sha256", "decoded_sha256", *carried],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    narrow = docs.select(F.col(key), F.col(text).cast("binary").alias("_text"))
+    narrow = docs.select(F.col(key), F.col(text).cast("binary").alias("_text"), *carried)
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
     return narrow.mapInArrow(
-        scan, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        scan, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{more}"
     )
