@@ -9,15 +9,18 @@ source has had w * t blocks, give or take less than one.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import math
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echoloom.operators.keyed import numbered
+from echoloom.operators.keyed import counted_lookup_join, numbered
 
 BLOCK_ROWS = 64
-PARTS = 1000  # weights are whole parts of this; the schedule repeats after as many slots
+PARTS = 1000  # whole parts that weights are rounded to where a short period is asked for
+BROADCAST_SLOTS = 100_000  # of a schedule; a longer one is joined
 SEED = 17
 
 
@@ -40,32 +43,51 @@ def whole_parts(weights: Mapping[str, float], parts: int = PARTS) -> dict[str, i
     return given
 
 
+def exact_parts(weights: Mapping[str, float | Fraction]) -> dict[str, int]:
+    """Weights as the smallest whole numbers in exactly their proportions.
+
+    A float counts as the decimal number that it is written as.  The schedule
+    repeats after as many slots as the sum.
+    """
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    if exact and min(exact.values()) <= 0:
+        raise ValueError("weights must be positive")
+    whole = math.lcm(*(w.denominator for w in exact.values()))
+    parts = {s: int(w * whole) for s, w in exact.items()}
+    common = math.gcd(*parts.values())
+    return {s: n // common for s, n in parts.items()}
+
+
 def window(block: int, share: int, parts: int) -> tuple[int, int]:
     """Release time and deadline of the ``block``-th block (from 1) of a source with ``share`` parts."""
     return (block - 1) * parts // share, -(-block * parts // share)
 
 
-def one_period(shares: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, block from 0, release, deadline, slot) of ``parts`` slots, earliest deadline first.
+def schedule(shares: Mapping[str, int], slots: int) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block from 0, release, deadline, slot) of the first ``slots``, earliest deadline first.
 
-    Windows never reach over the end of the period, so the schedule of all time
-    is this one repeated.
+    Every source always has a next block.  Windows never reach over the end of a
+    period (the sum of the shares), so the schedule of all time is one period repeated.
     """
     parts = sum(shares.values())
-    released: dict[int, list[tuple[int, str, int, int]]] = {}
-    for source, share in shares.items():
-        for block in range(share):
-            release, deadline = window(block + 1, share, parts)
-            released.setdefault(release, []).append((deadline, source, block, release))
+    coming = [(0, source, 0) for source in shares]
+    heapq.heapify(coming)
     ready: list[tuple[int, str, int, int]] = []
-    schedule = []
-    for slot in range(parts):
-        for entry in released.get(slot, ()):
-            heapq.heappush(ready, entry)
+    for slot in range(slots):
+        while coming[0][0] <= slot:
+            release, source, block = coming[0]
+            heapq.heappush(ready, (window(block + 1, shares[source], parts)[1], source, block, release))
+            heapq.heapreplace(
+                coming, (window(block + 2, shares[source], parts)[0], source, block + 1)
+            )
         deadline, source, block, release = heapq.heappop(ready)
         assert slot < deadline
-        schedule.append((source, block, release, deadline, slot))
-    return schedule
+        yield source, block, release, deadline, slot
+
+
+def one_period(shares: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """The schedule until it repeats."""
+    return list(schedule(shares, sum(shares.values())))
 
 
 def mix_sources(
@@ -74,7 +96,6 @@ def mix_sources(
     key: str = "doc_id",
     source: str = "source",
     block_rows: int = BLOCK_ROWS,
-    parts: int = PARTS,
 ) -> DataFrame:
     """Add ``block``, ``release``, ``deadline``, ``slot`` and ``row_in_block``.
 
@@ -89,8 +110,10 @@ def mix_sources(
     or null keys are told apart by their number only; an empty table stays empty.
     Columns of ``docs`` called like the added ones are replaced.
 
-    The names of sources and one period of ``parts`` slots (or as many as there
-    are sources) pass through the driver.  A source's rows are numbered in
+    Weights are taken as they are, not rounded.  The sources' names and sizes and the
+    slots of the blocks in one period pass through the driver, or of all blocks there
+    are if the rows end before the period does: at most one slot a block.  The driver's
+    time grows with the slots up to there.  A source's rows are numbered in
     buckets whose number follows its size, so a hot source is spread.
     """
     spark = docs.sparkSession
@@ -102,30 +125,39 @@ def mix_sources(
         # The null source goes by a name that no other source has.
         F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null")).alias("_source"),
     )
-    names = [r[0] for r in rows.select("_source").distinct().collect()]
+    filled = {
+        r["_source"]: -(-r["rows"] // block_rows)
+        for r in rows.groupBy("_source").agg(F.count(F.lit(1)).alias("rows")).collect()
+    }
     given = {"=" + name: weight for name, weight in (weights or {}).items()}
-    least = min(given.values(), default=1.0)
-    parts = max(parts, len(names))
-    shares = whole_parts({name: float(given.get(name, least)) for name in names}, parts)
+    least = min(given.values(), default=1)
+    shares = exact_parts({name: given.get(name, least) for name in filled})
+    parts = sum(shares.values())
+    # The last block's deadline, or the end of the period if that comes first.
+    slots = min(parts, max((window(n, shares[s], parts)[1] for s, n in filled.items()), default=0))
     period = [
-        (name, shares[name], block, release, deadline, slot)
-        for name, block, release, deadline, slot in (one_period(shares) if shares else [])
+        (name, shares[name], block, release, deadline, slot, -(-(filled[name] - block) // shares[name]) * block_rows)
+        for name, block, release, deadline, slot in schedule(shares, slots)
+        if block < filled[name]
     ]
-    # Its size is the number of parts.
     table = spark.createDataFrame(
         period,
-        "_source string, _share bigint, _at bigint, _release bigint, _deadline bigint, _slot bigint",
+        "_source string, _share bigint, _at bigint, _release bigint, _deadline bigint, _slot bigint, _rows bigint",
     )
-    sizes = F.broadcast(table.select("_source", "_share").distinct())
+    sizes = F.broadcast(spark.createDataFrame(list(shares.items()), "_source string, _share bigint"))
     ranked = numbered(rows, ["_source"], ["_key"], "_number", F.xxhash64("_key", F.lit(SEED)))
-    placed = (
+    turned = (
         ranked.withColumn("_block", F.floor(F.col("_number") / block_rows))
         .join(sizes, "_source")
-        .withColumn("_turn", F.floor(F.col("_block") / F.col("_share")))
         .withColumn("_at", F.pmod("_block", "_share"))
-        .join(F.broadcast(table.drop("_share")), ["_source", "_at"])
+        .withColumn("_turn", F.expr("_block div _share"))
     )
-    start = F.col("_turn") * parts
+    on = ["_source", "_at"]
+    if len(period) <= BROADCAST_SLOTS:
+        placed = turned.join(F.broadcast(table.drop("_share", "_rows")), on)
+    else:
+        placed = counted_lookup_join(turned, table.drop("_share"), on, ["_number"], "_rows", how="inner")
+    start = F.col("_turn") * F.lit(parts).cast("bigint")
     return placed.select(
         *(F.col("_row")[name].alias(name) for name in fields),
         F.col("_block").alias("block"),
