@@ -26,6 +26,9 @@ send_with_tasks(__name__)
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.30, 0.32
 MOST_LINKS = 0.2
+# Inside a marked article: share of characters, and blocks in a row that make a list of links.
+MOST_LINKS_INSIDE = 0.5
+LINK_LIST = 2
 # Element names by what they do to the text.
 HIDDEN = frozenset(
     "script style noscript template head title svg math iframe object embed applet audio video canvas "
@@ -192,20 +195,19 @@ def blocks(page: str) -> list[Block]:
 
 
 def classify(block: Block, container: bool) -> str:
-    """First pass.  ``container`` tells that the page marks its article.
+    """First pass.  ``container`` tells that the page's article or main element counts as evidence.
 
-    Inside a marked article a block needs no stop words to be good, only no more
-    links than text; outside of it, and in pages without one, the rules of length
-    and density hold.
+    Inside such an element a block needs no stop words to be good and may hold more
+    links; outside of it, and in pages without one, the rules of length and density hold.
     """
-    if block.outside or container and not block.inside:
+    if block.outside:
         return BAD
     size = len(block.text)
     links = min(1.0, block.linked / size)
-    if block.inside:
-        if links > 0.5:
+    if container and block.inside:
+        if size < SHORT:
             return SHORT_BLOCK
-        return GOOD if size >= SHORT and links <= MOST_LINKS else SHORT_BLOCK
+        return GOOD if links <= MOST_LINKS else BAD if links > MOST_LINKS_INSIDE else NEAR_GOOD
     if links > MOST_LINKS or "\N{COPYRIGHT SIGN}" in block.text[:20]:
         return BAD
     words = WORD.findall(block.text.lower())
@@ -217,40 +219,78 @@ def classify(block: Block, container: bool) -> str:
     return NEAR_GOOD if density >= STOP_LOW else BAD
 
 
+def trusted(found: list[Block]) -> bool:
+    """Whether the marked article holds the main text, or there is only a teaser in it.
+
+    It does unless more good text by the plain rules lies outside of it than there is
+    text with few links inside.
+    """
+    within = [b for b in found if b.inside and not b.outside]
+    if not within:
+        return False
+    own = sum(len(b.text) for b in within if b.linked <= MOST_LINKS * len(b.text))
+    beyond = sum(len(b.text) for b in found if not b.inside and classify(b, False) == GOOD)
+    return own >= beyond
+
+
+def mark_link_lists(found: list[Block]) -> None:
+    """Inside an article, short blocks of links in a row are a list and bad; a single one is undecided."""
+    run: list[Block] = []
+    for block in [b for b in found if not b.outside] + [Block("", 0, False, False, False)]:
+        if block.inside and block.linked > MOST_LINKS_INSIDE * len(block.text):
+            run.append(block)
+            continue
+        if len(run) >= LINK_LIST:
+            for linked in run:
+                linked.verdict = BAD
+        run = []
+
+
+def neighbours(row: list[Block], unknown: str) -> list[tuple[str, str]]:
+    """Verdicts of the nearest decided blocks before and after each, ``unknown`` where there is none."""
+    sides = []
+    for order in (row, row[::-1]):
+        last, side = unknown, []
+        for block in order:
+            if block.verdict in (GOOD, BAD):
+                last = block.verdict
+            side.append(last)
+        sides.append(side)
+    return list(zip(sides[0], sides[1][::-1]))
+
+
 def decide(found: list[Block]) -> list[bool]:
     """Second pass: whether each block belongs to the main text.
 
     An undecided block takes the class of its nearest decided neighbours on
     both sides, within a marked article those inside it; where the two disagree
-    a near-good block and a heading before good text are kept.
+    a near-good block and a heading before good text are kept, and inside the
+    article any text that is neither a heading nor a link.
     """
-    container = any(b.inside and not b.outside for b in found)
+    container = trusted(found)
     for block in found:
         block.verdict = classify(block, container)
+    if container:
+        mark_link_lists(found)
+    within = [b for b in found if container and b.inside and not b.outside]
+    beyond = [b for b in found if not (container and b.inside and not b.outside)]
     # Where nothing tells, a marked article and a page without decided blocks are kept.
-    unknown = GOOD if container or all(b.verdict not in (GOOD, BAD) for b in found) else BAD
-    before: list[str] = []
-    last = unknown
-    for block in found:
-        if block.verdict in (GOOD, BAD) and not (container and block.verdict == BAD):
-            last = block.verdict
-        before.append(last)
-    after: list[str] = []
-    last = unknown
-    for block in reversed(found):
-        if block.verdict in (GOOD, BAD) and not (container and block.verdict == BAD):
-            last = block.verdict
-        after.append(last)
-    after.reverse()
-    kept = []
-    for block, left, right in zip(found, before, after):
-        if block.verdict in (GOOD, BAD):
-            kept.append(block.verdict == GOOD)
-        elif left == right:
-            kept.append(left == GOOD)
-        else:
-            kept.append(block.verdict == NEAR_GOOD or block.heading and right == GOOD)
-    return kept
+    unknown = GOOD if all(b.verdict not in (GOOD, BAD) for b in found) and not container else BAD
+    kept: dict[int, bool] = {}
+    for row, default in ((within, GOOD), (beyond, unknown)):
+        for block, (left, right) in zip(row, neighbours(row, default)):
+            if block.verdict in (GOOD, BAD):
+                keep = block.verdict == GOOD
+            elif left == right:
+                keep = left == GOOD
+            elif block.heading:
+                keep = right == GOOD or block.verdict == NEAR_GOOD
+            elif row is within:
+                keep = block.linked <= MOST_LINKS_INSIDE * len(block.text)
+            else:
+                keep = block.verdict == NEAR_GOOD
+            kept[id(block)] = keep
+    return [kept[id(b)] for b in found]
 
 
 def main_text(page: str | None) -> str:
