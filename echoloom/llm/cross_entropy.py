@@ -3,7 +3,8 @@
 Both are bigram models over one vocabulary, smoothed alike, and the larger model's
 counts are scaled to the mass of the smaller one, so that smoothing weighs the same
 in both.  A document's score is the mean difference of its tokens' losses: the
-lower, the more it reads like the target.
+lower, the more it reads like the target.  Counts are exact and stay in tables that
+grow with the input; documents meet them in joins.
 """
 
 from __future__ import annotations
@@ -13,151 +14,149 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from echoloom.llm.sampling import word_counts
+from echoloom.operators.keyed import counted_lookup_join
 from echoloom.workspace import materialize, send_with_tasks
 
 send_with_tasks(__name__)
 
-# A word is in the vocabulary if it makes up this share of all tokens or more, so
-# there are at most as many words as the share goes into one, whatever the corpus.
-LEAST_SHARE = 1e-5
-PAIR_BUCKETS = 1 << 20  # hashed pairs of words; the size of a model does not grow
 SMOOTHING = 50.0  # tokens' worth of the unigram model mixed into each context
 LEAST_COUNT = 0.1  # of every word in a unigram model
 UNKNOWN, START = 0, 1
-
-
-@dataclass(frozen=True)
-class Counts:
-    """Counts of one model: hashed pairs, contexts and words by number, and what one counts for."""
-
-    pairs: np.ndarray
-    contexts: np.ndarray
-    words: np.ndarray
-    scale: float
+TOKENS_HELD = 500_000  # counted in a task before they are passed on
+CHUNK_TOKENS = 500_000  # of the documents that are scored together
 
 
 @dataclass(frozen=True)
 class Models:
-    numbers: dict[bytes, int]
-    target: Counts
-    background: Counts
+    """Counts of both models for each pair of words, and their totals.
 
+    ``pairs`` has (pair, others, target) and with the suffixes ``_context`` and
+    ``_word`` the counts of the pair's context and word; ``words`` the vocabulary.
+    """
 
-def token_numbers(text: bytes, numbers: dict[bytes, int]) -> np.ndarray:
-    """Vocabulary number of each word; unknown words share one."""
-    return np.array([numbers.get(w, UNKNOWN) for w in text.lower().split()], dtype=np.int64)
+    pairs: DataFrame
+    words: DataFrame
+    size: int
+    others: int
+    target: int
+    known: frozenset[bytes] | None
 
+    @property
+    def numbers(self) -> dict[bytes, int]:
+        """The vocabulary, numbered by use; for small vocabularies, as it comes to the driver."""
+        words = sorted(self.words.collect(), key=lambda r: (-r["n"], r["word"]))
+        return {bytes(r["word"]): i + 2 for i, r in enumerate(words)}
 
-def pair_buckets(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts and hashed (context, token) buckets of a text; the first context is a start mark."""
-    contexts = np.concatenate(([START], tokens[:-1])) if len(tokens) else tokens
-    mixed = (contexts.astype(np.uint64) << np.uint64(32)) | tokens.astype(np.uint64)
-    mixed *= np.uint64(0x9E3779B97F4A7C15)
-    return contexts, (mixed >> np.uint64(44)).astype(np.int64)
 
-
-def losses(
-    model: Counts, tokens: np.ndarray, contexts: np.ndarray, pairs: np.ndarray, own: bool
-) -> np.ndarray:
-    """Loss of each token in bits.  With ``own`` the text's own counts are taken off first."""
-    pair, context, word = model.pairs[pairs], model.contexts[contexts], model.words[tokens]
-    total = model.words.sum()
-    if own:
-        for place, values in ((pairs, pair), (contexts, context), (tokens, word)):
-            _, inverse, times = np.unique(place, return_inverse=True, return_counts=True)
-            values -= times[inverse]
-        total -= len(tokens)
-    size, scale = len(model.words), model.scale
-    unigram = (np.maximum(word, 0) * scale + LEAST_COUNT) / (total * scale + LEAST_COUNT * size)
-    return -np.log2(
-        (np.maximum(pair, 0) * scale + SMOOTHING * unigram)
-        / (np.maximum(context, 0) * scale + SMOOTHING)
-    )
+def token_numbers(text: bytes, known: frozenset[bytes] | None = None) -> np.ndarray:
+    """A 64-bit number of each word; words that are not ``known``, if that is given, share one."""
+    digest = xxhash.xxh64_intdigest
+    words = text.lower().split()
+    return np.array(
+        [digest(w) if known is None or w in known else UNKNOWN for w in words], dtype=np.uint64
+    ).view(np.int64)
 
 
-def vocabulary(docs: DataFrame, text: str = "text", least_share: float = LEAST_SHARE) -> list[bytes]:
-    """Words with at least ``least_share`` of all tokens, most used first; counted over all documents."""
-    counted = materialize(word_counts(docs, text), "words")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    kept = counted.filter(F.col("n") >= F.lit(least_share * total)).collect()
-    return [bytes(r["word"]) for r in sorted(kept, key=lambda r: (-r["n"], r["word"]))]
+def pair_numbers(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts and 64-bit (context, token) numbers of a text; the first context is a start mark."""
+    contexts = np.concatenate(([START], tokens[:-1])).astype(np.int64) if len(tokens) else tokens
+    mixed = contexts.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ mixed >> np.uint64(29)) + tokens.view(np.uint64)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return contexts, (mixed ^ mixed >> np.uint64(32)).view(np.int64)
 
 
 def fit_models(
-    docs: DataFrame, target: DataFrame, text: str = "text", least_share: float = LEAST_SHARE
+    docs: DataFrame, target: DataFrame, text: str = "text", least_share: float = 0.0
 ) -> Models:
     """The target's model from all texts of ``target``, the background's from all of ``docs``.
 
-    Every task adds up what it reads into arrays of fixed size and passes on the
-    counts that are not zero; they are added up by bucket on the executors, and
-    one model of fixed size comes to the driver.  Texts are not shuffled.
+    All words are in the vocabulary.  With a ``least_share`` only those with that
+    share of all tokens, at most as many as it goes into one, which come to the driver.
+    Texts are not shuffled.
     """
     narrow = docs.select(F.col(text).cast("binary").alias("_text"), F.lit(False).alias("_target")).unionByName(
         target.select(F.col(text).cast("binary").alias("_text"), F.lit(True).alias("_target"))
     )
-    words = vocabulary(narrow, "_text", least_share)
-    numbers = {w: i + 2 for i, w in enumerate(words)}
-    size = len(words) + 2
-    shared = docs.sparkSession.sparkContext.broadcast(numbers)
-    width = PAIR_BUCKETS + 2 * size
+    words = materialize(word_counts(narrow, "_text"), "words")
+    known = None
+    if least_share > 0:
+        total = words.agg(F.sum("n")).first()[0] or 0
+        words = words.filter(F.col("n") >= F.lit(least_share * total))
+        known = frozenset(bytes(r["word"]) for r in words.collect())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = shared.value
-        sums = np.zeros((2, width), dtype=np.int64)
-        waiting: list[list[np.ndarray]] = [[], []]
-        held = 0
-
-        def settle() -> None:
-            for row, found in zip(sums, waiting):
-                if found:
-                    row += np.bincount(np.concatenate(found), minlength=width)
-                    found.clear()
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, bool]] = []
+        size = 0
+
+        def counted() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*(h[:3] for h in held))] or [np.zeros(0, np.int64)] * 3
+            wanted = np.concatenate([np.full(len(h[0]), h[3]) for h in held] or [np.zeros(0, bool)])
+            pairs, first, place = np.unique(columns[0], return_index=True, return_inverse=True)
+            every = np.bincount(place, minlength=len(pairs))
+            ours = np.bincount(place[wanted], minlength=len(pairs))
+            held.clear()
+            values = (pairs, columns[1][first], columns[2][first], every - ours, ours)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(v, pa.int64()) for v in values], ["pair", "context", "word", "others", "target"]
+            )
 
         for batch in batches:
             for value, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens = token_numbers(value or b"", numbers)
-                contexts, pairs = pair_buckets(tokens)
-                cells = np.concatenate(
-                    (pairs, PAIR_BUCKETS + contexts, PAIR_BUCKETS + size + tokens)
-                )
-                waiting[1 if wanted else 0].append(cells)
-                held += len(cells)
-                if held > 1 << 21:
-                    settle()
-                    held = 0
-        settle()
-        cell = np.flatnonzero(sums.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cell.astype(np.int32)), pa.array(sums[0, cell]), pa.array(sums[1, cell])],
-            ["cell", "others", "target"],
-        )
-
-    summed = (
-        narrow.mapInArrow(scan, "cell int, others bigint, target bigint")
-        .groupBy("cell")
-        .agg(F.sum("others").alias("others"), F.sum("target").alias("target"))
-        .toArrow()
+                tokens = token_numbers(value or b"", known)
+                contexts, pairs = pair_numbers(tokens)
+                held.append((pairs, contexts, tokens, wanted))
+                size += len(tokens)
+                if size >= TOKENS_HELD:
+                    yield counted()
+                    size = 0
+        yield counted()
+
+    sums = [F.sum(c).alias(c) for c in ("others", "target")]
+    pairs = materialize(
+        narrow.mapInArrow(scan, "pair bigint, context bigint, word bigint, others bigint, target bigint")
+        .groupBy("pair")
+        .agg(F.min("context").alias("context"), F.min("word").alias("word"), *sums),
+        "pairs",
     )
-    cell = summed.column("cell").to_numpy()
-    counts = {}
-    for name in ("target", "others"):
-        counts[name] = np.zeros(width, dtype=np.int64)
-        counts[name][cell] = summed.column(name).to_numpy()
-    total = {name: max(1, int(found[PAIR_BUCKETS + size :].sum())) for name, found in counts.items()}
-    models = [
-        Counts(
-            counts[name][:PAIR_BUCKETS],
-            counts[name][PAIR_BUCKETS : PAIR_BUCKETS + size],
-            counts[name][PAIR_BUCKETS + size :],
-            min(total.values()) / total[name],
+    full = pairs
+    for part in ("word", "context"):
+        counts = pairs.groupBy(part).agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *(F.sum(c).alias(f"{c}_{part}") for c in ("others", "target")),
         )
-        for name in ("target", "others")
-    ]
-    return Models(numbers, *models)
+        full = counted_lookup_join(
+            full, materialize(counts, part), [part], ["pair"], "_rows", how="inner"
+        )
+    totals = pairs.agg(*sums).first()
+    return Models(
+        materialize(full.drop("word", "context"), "model"),
+        words,
+        words.count() + 2,
+        totals["others"] or 0,
+        totals["target"] or 0,
+        known,
+    )
+
+
+def losses(
+    scale: float, total: int, size: int, counts: list[np.ndarray], own: list[np.ndarray] | None
+) -> np.ndarray:
+    """Loss of each token in bits, by the counts of its pair, context and word.
+
+    With ``own`` the text's own counts of them are taken off first.
+    """
+    if own is not None:
+        counts = [c - o for c, o in zip(counts, own)]
+        total -= len(counts[0])
+    pair, context, word = (np.maximum(c, 0) * scale for c in counts)
+    unigram = (word + LEAST_COUNT) / (total * scale + LEAST_COUNT * size)
+    return -np.log2((pair + SMOOTHING * unigram) / (context + SMOOTHING))
 
 
 def score_documents(
@@ -165,35 +164,70 @@ def score_documents(
 ) -> DataFrame:
     """(key, n_tokens, target_loss, background_loss, difference), mean losses in bits per token.
 
-    A document's own counts are taken off the background, which holds them.  Texts without words, null
-    ones included, have no tokens and zeros.  Repeated rows count as often as
-    they are there and get equal scores; an empty table gives none.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    ``docs`` are (some of) the documents of the background; their own counts are taken
+    off it.  Texts without words, null ones included, have no tokens and zeros.
+    Repeated rows are kept and get equal scores; an empty table gives none.
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
-        for batch in batches:
-            rows = []
-            for value in batch.column(1).to_pylist():
-                tokens = token_numbers(value or b"", models.numbers)
-                if not len(tokens):
-                    rows.append((0, 0.0, 0.0, 0.0))
-                    continue
-                found = (tokens, *pair_buckets(tokens))
-                near = losses(models.target, *found, own=False)
-                far = losses(models.background, *found, own=True)
-                rows.append((len(tokens), near.mean(), far.mean(), (near - far).mean()))
-            columns = list(zip(*rows)) if rows else [()] * 4
-            kinds = [pa.int64()] + [pa.float64()] * 3
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                [key, "n_tokens", "target_loss", "background_loss", "difference"],
+    Documents are dealt into chunks of about ``CHUNK_TOKENS``.  A chunk's distinct
+    pairs are joined to the counts, and the chunk is scored in one task.
+    """
+    known, size = models.known, models.size
+    totals = {"target": models.target, "others": models.others}
+    least = min(max(1, n) for n in totals.values())
+    chunks = max(1, -(-models.others // CHUNK_TOKENS))
+    narrow = docs.select(F.col(key).alias("_key"), F.col(text).cast("binary").alias("_text"))
+    dealt = narrow.withColumn(
+        "_chunk", F.pmod(F.xxhash64("_key", "_text"), F.lit(chunks).cast("bigint"))
+    ).groupBy("_chunk")
+
+    def pairs_of(rows: pa.Table) -> pa.Table:
+        held, found = np.zeros(0, dtype=np.int64), []
+        for i, value in enumerate(rows.column("_text").to_pylist()):
+            found.append(np.unique(pair_numbers(token_numbers(value or b"", known))[1]))
+            if i % 256 == 255:
+                held, found = np.unique(np.concatenate([held, *found])), []
+        held = np.unique(np.concatenate([held, *found]))
+        chunk = np.full(len(held), rows.column("_chunk")[0].as_py(), dtype=np.int64)
+        return pa.table({"_chunk": chunk, "pair": held})
+
+    def own_counts(values: np.ndarray) -> np.ndarray:
+        _, place, uses = np.unique(values, return_inverse=True, return_counts=True)
+        return uses[place]
+
+    def scored(rows: pa.Table, met: pa.Table) -> pa.Table:
+        pairs = met.column("pair").to_numpy()
+        order = np.argsort(pairs)
+        pairs = pairs[order]
+        tables = {
+            name: [met.column(c).to_numpy()[order] for c in (name, f"{name}_context", f"{name}_word")]
+            for name in totals
+        }
+        found = []
+        for value in rows.column("_text").to_pylist():
+            tokens = token_numbers(value or b"", known)
+            if not len(tokens):
+                found.append((0, 0.0, 0.0, 0.0))
+                continue
+            contexts, numbers = pair_numbers(tokens)
+            at = np.searchsorted(pairs, numbers)
+            own = [own_counts(values) for values in (numbers, contexts, tokens)]
+            near, far = (
+                losses(least / max(1, totals[name]), totals[name], size, [c[at] for c in tables[name]], off)
+                for name, off in (("target", None), ("others", own))
             )
+            found.append((len(tokens), near.mean(), far.mean(), (near - far).mean()))
+        columns = list(zip(*found)) if found else [()] * 4
+        kinds = [pa.int64()] + [pa.float64()] * 3
+        return pa.Table.from_arrays(
+            [rows.column("_key"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+            [key, "n_tokens", "target_loss", "background_loss", "difference"],
+        )
 
+    keys = dealt.applyInArrow(pairs_of, "_chunk bigint, pair bigint")
+    rows = models.pairs.withColumn("_rows", F.least(F.col("others"), F.lit(chunks).cast("bigint")))
+    met = counted_lookup_join(keys, rows, ["pair"], ["_chunk"], "_rows", how="inner")
     kind = docs.schema[key].dataType.simpleString()
-    narrow = docs.select(F.col(key), F.col(text).cast("binary").alias("_text"))
-    return narrow.mapInArrow(
-        scan,
+    return dealt.cogroup(met.groupBy("_chunk")).applyInArrow(
+        scored,
         f"`{key}` {kind}, n_tokens bigint, target_loss double, background_loss double, difference double",
     )
