@@ -3,10 +3,12 @@
 The encoding of a word restricted to a prefix is the encoding of that prefix, so
 each prefix has one last token.  It is the token that ends there and whose
 predecessor, the last token of the prefix before it, could stand beside it: no
-merge across their border comes before the merges that made the two.  A suffix
-automaton over the tokens finds the longest one ending at each place in one pass,
-and links lead on to the shorter ones; following the last tokens back from the
-end of the word gives its ids.
+merge across their border comes before the merges that made the two.  An
+Aho-Corasick automaton over the tokens, a trie of their prefixes with links to
+suffixes, finds the longest one ending at each place in one pass, and links lead
+on to the shorter ones; following the last tokens back from the end of the word
+gives its ids.  It stands in for a suffix automaton: only whole tokens are looked
+for, so states for their other substrings would serve nothing.
 """
 
 from __future__ import annotations
