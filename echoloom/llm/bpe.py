@@ -31,7 +31,10 @@ send_with_tasks(__name__)
 WORD_END = "</w>"
 # Moves the last character of a word, so that it differs from the same one inside a word.
 END_SHIFT = 0x10000
-MOST_CACHED = 300_000  # words and pairs remembered by a worker; a bound on memory only
+# Bounds on what a worker remembers, each for one kind: stretches of text (two generations
+# of them), words, starts of words and pairs of tokens; and shortcuts between states.
+MOST_CACHED = 100_000
+MOST_SHORTCUTS = 100_000
 LONGEST_CACHED = 64  # bytes
 PREFIX = 5  # symbols of a word whose tokens are remembered for words that start alike
 PUNCTUATION = string.punctuation
@@ -144,16 +147,24 @@ class WordBpe:
                     deeper.append(following)
             level = deeper
         self._children, self._shorter_state = children, shorter_state
+        self._shortcuts = 0
 
     def _move(self, state: int, symbol: str) -> int:
-        """The state after ``symbol``; shortcuts are kept beside the state's own children."""
+        """The state after ``symbol``; the first shortcuts found are kept beside the state's own children."""
         start = state
         while state and symbol not in self._children[state]:
             state = self._shorter_state[state]
         following = self._children[state].get(symbol, 0)
-        self._children[start][symbol] = following
+        if self._shortcuts < MOST_SHORTCUTS:
+            self._children[start][symbol] = following
+            self._shortcuts += 1
         return following
 
+    def remembered(self) -> int:
+        """Entries of all caches; never more than five times MOST_CACHED and MOST_SHORTCUTS."""
+        caches = (self._chunks, self._older, self._words, self._prefixes, self._together)
+        return sum(map(len, caches)) + self._shortcuts
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether ``left`` and ``right`` side by side stay two tokens.
 

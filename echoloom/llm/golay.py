@@ -326,12 +326,18 @@ def named_components(marked: DataFrame, distinct: DataFrame, edges: DataFrame, k
     )
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    most: int = MOST_BITS,
+) -> DataFrame:
     """One document of each component stays, the one with the smallest key, with all columns.
 
     Rows with a null key stay: nothing tells them apart.
     """
-    return drop_others(docs, near_duplicates(docs, key, text), key)
+    return drop_others(docs, near_duplicates(docs, key, text, shingle, most), key)
 
 
 def drop_others(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:

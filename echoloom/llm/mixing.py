@@ -19,28 +19,27 @@ from pyspark.sql import functions as F
 from echoloom.operators.keyed import counted_lookup_join, numbered
 
 BLOCK_ROWS = 64
-PARTS = 1000  # whole parts that weights are rounded to where a short period is asked for
+TEMPER = 0.5  # exponent of a source's size where no weights are given from outside
+WEIGHT_DIGITS = 2
 BROADCAST_SLOTS = 100_000  # of a schedule; a longer one is joined
 SEED = 17
 
 
-def whole_parts(weights: Mapping[str, float], parts: int = PARTS) -> dict[str, int]:
-    """Weights as whole parts that sum to ``parts``, by largest remainder, at least one each."""
-    if not weights:
-        return {}
-    if len(weights) > parts or min(weights.values()) <= 0:
-        raise ValueError("weights must be positive, and no more of them than parts")
-    total = sum(weights.values())
-    exact = {s: w / total * parts for s, w in weights.items()}
-    given = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(weights, key=lambda s: (given[s] - exact[s], s))
-    while sum(given.values()) < parts:
-        for s in order[: parts - sum(given.values())]:
-            given[s] += 1
-    while sum(given.values()) > parts:  # too many were raised to one part
-        largest = max(given, key=lambda s: (given[s] - exact[s] if given[s] > 1 else -parts, s))
-        given[largest] -= 1
-    return given
+def tempered_weights(
+    docs: DataFrame, source: str = "source", exponent: float = TEMPER
+) -> dict[str | None, Fraction]:
+    """A target weight for each source: its number of rows to the power of ``exponent``.
+
+    One keeps the sources' own proportions, zero makes all alike; in between small
+    sources are read more often than they are large.  Weights are rounded to
+    ``WEIGHT_DIGITS`` digits of the largest and are never below the last of them.
+    The null source is one of the sources; an empty table has none.
+    """
+    counts = docs.groupBy(source).agg(F.count(F.lit(1)).alias("rows")).collect()
+    raised = {r[source]: float(r["rows"]) ** exponent for r in counts}
+    most = max(raised.values(), default=1.0)
+    step = 10**WEIGHT_DIGITS
+    return {s: Fraction(max(1, round(x / most * step)), step) for s, x in raised.items()}
 
 
 def exact_parts(weights: Mapping[str, float | Fraction]) -> dict[str, int]:
@@ -85,14 +84,9 @@ def schedule(shares: Mapping[str, int], slots: int) -> Iterator[tuple[str, int,
         yield source, block, release, deadline, slot
 
 
-def one_period(shares: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """The schedule until it repeats."""
-    return list(schedule(shares, sum(shares.values())))
-
-
 def mix_sources(
     docs: DataFrame,
-    weights: Mapping[str, float] | None = None,
+    weights: Mapping[str | None, float | Fraction] | None = None,
     key: str = "doc_id",
     source: str = "source",
     block_rows: int = BLOCK_ROWS,
@@ -106,7 +100,7 @@ def mix_sources(
     of a source that has run out stay empty, and no row is left out or repeated.
 
     Without ``weights`` all sources weigh the same.  A source without a given
-    weight, a null one included, gets the smallest given weight.  Rows with equal
+    weight gets the smallest given weight; the null source may be given one as ``None``.  Rows with equal
     or null keys are told apart by their number only; an empty table stays empty.
     Columns of ``docs`` called like the added ones are replaced.
 
@@ -129,7 +123,7 @@ def mix_sources(
         r["_source"]: -(-r["rows"] // block_rows)
         for r in rows.groupBy("_source").agg(F.count(F.lit(1)).alias("rows")).collect()
     }
-    given = {"=" + name: weight for name, weight in (weights or {}).items()}
+    given = {"null" if name is None else f"={name}": weight for name, weight in (weights or {}).items()}
     least = min(given.values(), default=1)
     shares = exact_parts({name: given.get(name, least) for name in filled})
     parts = sum(shares.values())

@@ -48,9 +48,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op1_source_mixing")
 def op1_source_mixing(spark, sf_dir):
-    """Slot of every document when all sources weigh the same."""
+    """Slot of every document when a source weighs the square root of its size."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.mix_sources(docs)
+    return mixing.mix_sources(docs, mixing.tempered_weights(docs))
 
 
 @query("op2_cross_entropy")

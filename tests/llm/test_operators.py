@@ -7,6 +7,7 @@ import itertools
 import random
 import time
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -66,15 +67,16 @@ def labels(spark):
 # --- mixing ---
 
 
-@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 5, "b": 3, "c": 2}, {f"s{i}": 1 + i % 7 for i in range(60)}])
-def test_schedule_meets_windows_and_deviates_by_less_than_a_block(weights):
-    shares = mixing.whole_parts(weights, 500)
-    assert sum(shares.values()) == 500 and min(shares.values()) >= 1
-    had = dict.fromkeys(shares, 0)
-    for slot, (source, block, release, deadline, at) in enumerate(mixing.one_period(shares)):
-        assert at == slot and release <= slot < deadline and had[source] == block
-        had[source] += 1
-        assert all(abs(n - (slot + 1) * shares[s] / 500) < 1 for s, n in had.items())
+def test_weights_follow_the_sizes_of_sources(spark):
+    rows = [(i, "large") for i in range(900)] + [(i, None) for i in range(100)] + [(1, "small")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string")
+    assert mixing.tempered_weights(docs) == {"large": 1, None: Fraction(33, 100), "small": Fraction(3, 100)}
+    assert mixing.tempered_weights(docs, exponent=0.0) == {"large": 1, None: 1, "small": 1}
+    assert mixing.tempered_weights(docs.filter("false")) == {}
+    slots = mixing.mix_sources(docs, mixing.tempered_weights(docs), block_rows=1).collect()
+    assert len({r["slot"] for r in slots}) == 1001
+    early = [r["source"] for r in slots if r["slot"] < 136]
+    assert (early.count("large"), early.count(None)) == (100, 33)
 
 
 def test_mix_keeps_all_rows_and_cuts_whole_blocks(docs):
@@ -375,6 +377,20 @@ def test_tokens_equal_the_library(spark, docs, library):
         assert got[row["doc_id"]]["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_a_worker_remembers_a_bounded_number_of_things(library, monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_CACHED", 2_000)
+    monkeypatch.setattr(bpe, "MOST_SHORTCUTS", 3_000)
+    coder = bpe.WordBpe(open(queries.VOCABULARY, encoding="utf-8").read())
+    rng, most = random.Random(9), 0
+    for i in range(60_000):
+        word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzéß") for _ in range(rng.randint(1, 12)))
+        made = coder.chunk(f"{word}{i}".encode())
+        most = max(most, coder.remembered())
+        if i % 2000 == 0:
+            assert made[1] == " ".join(map(str, library.encode(f"{word}{i}", add_special_tokens=False).ids))
+    assert 6_000 < most <= 5 * 2_000 + 3_000
+
+
 def test_tokens_of_odd_texts_equal_the_library(library):
     coder = bpe.WordBpe(open(queries.VOCABULARY, encoding="utf-8").read())
     rng = random.Random(3)

@@ -35,7 +35,8 @@ def test_run_is_registered(spark):
     import __spark_entry__
 
     rows = __spark_entry__.queries()["pipeline"](spark, SF)
-    assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and rows.count() > 0
+    assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "position"]
+    assert rows.count() > 0
 
 
 def test_exact_query_equals_sql(spark):
