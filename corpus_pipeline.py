@@ -2,62 +2,59 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echoloom.llm import bpe, exact, machine, mixing, sampling, similar
+from echoloom.llm import bpe, exact, golay, machine, mixing, sampling
 from echoloom.llm.queries import VOCABULARY
 from echoloom.workspace import materialize
 
-# Of a stored part: its number, and that of the file within the part.
-FILE_NUMBERS = re.compile(r"(?<=^part-)\d+|(?<=-c)\d+(?=\.)")
+# Of a stored file's name: the number of the part, and that of the file within the part.
+PART, FILE = r"^part-(\d+)", r"-c(\d+)\."
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorization machine does not reject."""
+    """Documents that the factorization machine does not reject; see ``machine.drop_toxic`` for odd rows."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     usable = ~sampling.held_out(F.col("doc_id"), 5, 0)
     return machine.drop_toxic(docs, machine.fit_toxicity(docs, labels, usable))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id."""
+    """Of equal texts, null ones counting as empty, the document with the largest id."""
     return exact.drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word similarity of 0.8 or more the one with the smallest id."""
-    return similar.drop_similar(docs)
+    """Of documents linked by fingerprints of four-word shingles at most four bits apart, directly or
+    through others, the one with the smallest id; rows without id stay."""
+    return golay.drop_near_duplicates(docs, shingle=golay.SHINGLE, most=golay.MOST_BITS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order in which equally weighted sources take turns.
+    """All documents, in the order in which their sources take turns by their weights.
 
-    The order is that of the stored files' numbers and of the rows in each file.
+    The order is that of the stored files' numbers and of the rows in each file.  A null
+    source is one of the sources.
     """
-    return mixing.in_mixed_order(docs)
+    return mixing.in_mixed_order(docs, mixing.tempered_weights(docs))
 
 
-def placed(docs: DataFrame) -> DataFrame:
-    """Stored ``docs`` with ``position``: the row's number from 0 in the order in which it was written.
+def placed(docs: DataFrame, out: str = "position") -> DataFrame:
+    """Stored ``docs`` with ``out``: rising, not gapless numbers in the order in which rows were written.
 
-    A reader may take files in any order, but every row tells its file and place.
+    A reader may take files in any order, but every row tells its file and place.  A
+    column called ``out`` is replaced.
     """
-    file = F.col("_metadata.file_name")
-    read = docs.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_at"))
-    # One row for each stored file.
-    counts = read.groupBy("_file").agg(F.count(F.lit(1)).alias("rows")).collect()
-    starts, rows = [], 0
-    for found in sorted(counts, key=lambda r: [int(n) for n in FILE_NUMBERS.findall(r["_file"])]):
-        starts.append((found["_file"], rows))
-        rows += found["rows"]
-    offsets = docs.sparkSession.createDataFrame(starts, "_file string, _start bigint")
-    position = (F.col("_start") + F.col("_at")).alias("position")
-    return read.join(F.broadcast(offsets), "_file").select(*docs.columns, position)
+    name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    part = F.regexp_extract(name, PART, 1).cast("bigint")
+    file = F.regexp_extract(name, FILE, 1).cast("bigint")
+    # 24 bits of parts, 8 of files within a part, 31 of rows within a file.
+    number = F.shiftleft(part, 39) + F.shiftleft(file, 31) + row
+    return docs.select(*(c for c in docs.columns if c != out), number.alias(out))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,4 +81,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir).orderBy("position").drop("position")
+    return STAGES[-1][1](spark, docs, sf_dir).orderBy("position")
