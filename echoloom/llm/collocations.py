@@ -34,7 +34,7 @@ BLANKS = b" \t"
 
 SEGMENT_BYTES = 2_000_000  # of text looked at together
 HASHED_BYTES = 64  # of a word; longer ones are hashed one by one
-SUFFIXES_HELD = 1_000_000  # combined by a task before it passes them on
+PAIRS_HELD = 1_000_000  # counted by a task before it passes them on
 SORTED_TOGETHER = 400_000  # suffixes of whole routes that are sorted in one go
 # Sizes of the two filters, in bits of an address: a few bits for each entry, 32 MB at most.
 # Fuller filters let more through; what passes is counted exactly all the same.
@@ -310,7 +310,7 @@ def pair_slots(narrow: DataFrame, seed: int, known, word_bits: int, bits: int) -
                 at = np.flatnonzero(pair)
                 held.append(_pair_slot(codes[at], codes[at + 1], bits))
                 size += len(at)
-                if size >= SUFFIXES_HELD:
+                if size >= PAIRS_HELD:
                     yield counted()
                     held, size = [], 0
         yield counted()
@@ -329,37 +329,21 @@ def suffixes(narrow: DataFrame, seed: int, known, word_bits: int, often, bits: i
     """(route, heavy, w1 to w5, n): the suffixes at all pairs on frequent slots, up to the last such pair.
 
     The route is the hash of the two leading words.  Pairs on heavy slots are routed by
-    all their words instead; equal suffixes are added up before they go.
+    all their words instead; equal suffixes of a segment are added up before they go.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = Pairs(seed, known.value, word_bits)
-        held, weights, size = [], [], 0
-
-        def passed_on() -> pa.RecordBatch:
-            if held:
-                rows, n = combined(np.concatenate(held), np.concatenate(weights))
-            else:
-                rows, n = np.zeros((0, LONGEST), np.int64), np.zeros(0, np.int64)
-            split = np.isin(_pair_slot(rows[:, 0].copy(), rows[:, 1].copy(), bits), heavy.value)
-            route = scrambled(rows[:, 0].copy().view(np.uint64) * np.uint64(3) + rows[:, 1].copy().view(np.uint64), 5)
-            deep = route.copy()
-            for column in rows.T[SHORTEST:]:
-                deep = scrambled(deep ^ column.copy().view(np.uint64), 5)
-            route = np.where(split, deep, route).view(np.int64)
-            columns = [pa.array(route), pa.array(split), *(pa.array(c.copy()) for c in rows.T), pa.array(n)]
-            return pa.RecordBatch.from_arrays(columns, ["route", "heavy", *CODES, "n"])
-
         for batch in batches:
             for lang, text in _texts(batch):
                 codes, pair = pairs(lang, text)
                 at = np.flatnonzero(pair)
-                if not len(at):
-                    continue
                 pair[at] = _marked(often.value, _pair_slot(codes[at], codes[at + 1], bits))
                 at = np.flatnonzero(pair)
+                if not len(at):
+                    continue
                 rows = np.zeros((len(at), LONGEST), dtype=np.int64)
-                rows[:, 0], rows[:, 1] = codes[at], codes[np.minimum(at + 1, len(codes) - 1)]
+                rows[:, 0], rows[:, 1] = codes[at], codes[at + 1]
                 on = np.ones(len(at), dtype=bool)
                 for depth in range(SHORTEST, LONGEST):
                     # The word at ``depth`` belongs to the suffix if the pair before it is kept.
@@ -367,13 +351,16 @@ def suffixes(narrow: DataFrame, seed: int, known, word_bits: int, often, bits: i
                     on &= pair[further]
                     rows[on, depth] = codes[further[on] + 1]
                 rows, n = combined(rows, np.ones(len(rows), dtype=np.int64))
-                held.append(rows)
-                weights.append(n)
-                size += len(rows)
-                if size >= SUFFIXES_HELD:
-                    yield passed_on()
-                    held, weights, size = [], [], 0
-        yield passed_on()
+                words = [np.ascontiguousarray(c) for c in rows.T]
+                split = np.isin(_pair_slot(words[0], words[1], bits), heavy.value)
+                route = deep = scrambled(words[0].view(np.uint64) * np.uint64(3) + words[1].view(np.uint64), 5)
+                for column in words[SHORTEST:]:
+                    deep = scrambled(deep ^ column.view(np.uint64), 5)
+                route = np.where(split, deep, route).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(route), pa.array(split), *map(pa.array, words), pa.array(n)],
+                    ["route", "heavy", *CODES, "n"],
+                )
 
     return narrow.mapInArrow(find, SUFFIX_ROW)
 

@@ -224,7 +224,7 @@ def test_collocations_equal_plain_counts(spark, monkeypatch):
 
 def test_heavy_pairs_are_spread_and_routes_cut(spark, monkeypatch):
     monkeypatch.setattr(collocations, "SORTED_TOGETHER", 7)
-    monkeypatch.setattr(collocations, "SUFFIXES_HELD", 50)
+    monkeypatch.setattr(collocations, "PAIRS_HELD", 50)
     rows = [("en", f"of the {a} {b}") for a in "abcdefg" for b in "hijklmn"] * 3
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
     found = collocations.collocations(docs, least=3, listed=500)
