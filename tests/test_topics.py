@@ -40,16 +40,44 @@ def points(spark):
     return rows
 
 
-@pytest.mark.parametrize("cell_rows, block_rows", [(8192, 8192), (20, 15), (60, 1000)])
-def test_knn_equals_brute_force(spark, points, cell_rows, block_rows):
+@pytest.mark.parametrize("cell_rows, block_rows, fanout", [(8192, 8192, 64), (20, 15, 64), (60, 1000, 64), (9, 25, 4)])
+def test_knn_equals_brute_force(spark, points, cell_rows, block_rows, fanout):
     df = spark.createDataFrame(points, VECTORS)
     found = {}
-    graph = neighbours.knn_graph(df, 4, by="app_id", cell_rows=cell_rows, block_rows=block_rows)
+    options = {"cell_rows": cell_rows, "block_rows": block_rows, "fanout": fanout}
+    graph = neighbours.knn_graph(df, 4, by="app_id", **options)
     for r in graph.orderBy("app_id", "src", "rank").collect():
         found.setdefault((r["app_id"], r["src"]), []).append((r["dst"], r["distance"]))
     assert found == brute_force(points, 4)
 
 
+def test_pivot_tree_of_three_levels(spark, points):
+    df = neighbours.as_points(spark.createDataFrame(points, VECTORS), "app_id", "review_id", "embedding")
+    vectors = neighbours.distinct_vectors(df)
+    tree = neighbours.pivot_tree(vectors, cell_rows=9, fanout=4)
+    assert len(tree.levels) >= 3
+    cells = tree.cells.withColumns({f"at{d}": tree.ancestor(d) for d in range(4)}).collect()
+    assert len(cells) == vectors.count()
+    assert {r["cell"] for r in cells if r["grp"] == "small"} == {1}
+    for depth, level in enumerate(tree.levels[:3]):
+        for row in level.collect():
+            below = [r for r in cells if r["grp"] == row["grp"] and r[f"at{depth}"] == row["cell"]]
+            assert len(below) > 9
+            for child in row["children"]:
+                inside = [r for r in below if r[f"at{depth + 1}"] == child["cell"]]
+                far = [np.linalg.norm(np.array(r["vec"]) - child["vec"]) for r in inside]
+                assert max(far) == pytest.approx(child["radius"])
+
+
+def test_nearby_finds_most_neighbours(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, "a", [float(x) for x in rng.normal(size=4)], 0) for i in range(600)]
+    df = neighbours.as_points(spark.createDataFrame(rows, VECTORS), None, "review_id", "embedding")
+    exact = {(r["src"], r["dst"]) for r in neighbours.nearest(df, 5).collect()}
+    found = {(r["src"], r["dst"]) for r in neighbours.nearby(df, 5, 4, cell_rows=80, fanout=8).collect()}
+    assert len(found) == len(exact) == 3000 and len(found & exact) / len(exact) > 0.9
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     nodes = [(g, n) for g in ("x", "y") for n in range(200)]
