@@ -254,26 +254,39 @@ def test_analysis_end_to_end(spark):
     assert result[0]["topics"] and result[0]["top_negative_topics"]
 
 
-@pytest.mark.parametrize("local_edges", [50_000, 40])
-def test_spanning_forest_keeps_components_at_every_cut(spark, local_edges):
+@pytest.mark.parametrize("local_edges", [50_000, 20])
+def test_spanning_tree_keeps_all_pairs_components_at_every_cut(spark, local_edges):
     rng = np.random.default_rng(5)
-    edges = [("g", int(a), int(b), float(w)) for (a, b), w in zip(rng.integers(0, 60, size=(200, 2)), rng.integers(1, 30, size=200)) if a != b]
-    df = spark.createDataFrame(edges, "grp string, u bigint, v bigint, length double")
-    found = density.spanning_forest(df, ["grp"], local_edges)
-    forest = [tuple(r) for r in found.select("grp", "u", "v", "length").collect()]
+    points = np.concatenate([rng.normal(size=(30, 2)) + 40 * i for i in range(4)])
+    core = rng.uniform(0, 0.5, len(points))
+    far = np.round(np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1)), 9)
+    length = np.maximum(np.maximum(far, core[:, None]), core[None])
+    order = np.argsort(far, axis=1)[:, 1:4]
+    edges = [("g", i, int(j), float(length[i, j])) for i, row in enumerate(order) for j in row]
+    known = [("g", i, float(core[i]), float(max(core[i], far[i, row[-1]]))) for i, row in enumerate(order)]
+    vectors = [("g", i, [float(x) for x in p]) for i, p in enumerate(points)] + [("alone", 999, [0.0, 0.0])]
+    tree = neighbours.pivot_tree(spark.createDataFrame(vectors, "grp string, id bigint, vec array<double>"), 12, 15, 4)
+    found = density.spanning_tree(
+        spark.createDataFrame(edges, "grp string, u bigint, v bigint, length double"),
+        spark.createDataFrame([*known, ("alone", 999, 0.0, float("inf"))], "grp string, id bigint, core double, limit double"),
+        tree, local_edges, 15,
+    )
+    got = [(r["u"], r["v"], r["length"]) for r in found.collect()]
+    pairs = [(i, j, float(length[i, j])) for i in range(len(points)) for j in range(i)]
 
     def components(rows, cut):
-        parent = list(range(60))
+        parent = list(range(len(points)))
 
         def find(n):
             while parent[n] != n:
                 n = parent[n]
             return n
 
-        for _, a, b, w in rows:
+        for a, b, w in rows:
             if w <= cut:
-                parent[max(find(a), find(b))] = min(find(a), find(b))
-        return [find(n) for n in range(60)]
+                a, b = find(a), find(b)
+                parent[max(a, b)] = min(a, b)
+        return [find(n) for n in parent]
 
-    assert len(forest) == 60 - len(set(components(edges, 99)))
-    assert all(components(forest, cut) == components(edges, cut) for cut in range(31))
+    assert len(got) == len(points) - 1 and all(w == length[u, v] for u, v, w in got)
+    assert all(components(got, cut) == components(pairs, cut) for cut in [*np.linspace(0.1, 3, 20), 30, 60])
