@@ -32,7 +32,7 @@ NO_LANGUAGE = "und"
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 
-SEGMENT_BYTES = 2_000_000  # of text looked at together
+SEGMENT_BYTES = 500_000  # of text looked at together
 HASHED_BYTES = 64  # of a word; longer ones are hashed one by one
 PAIRS_HELD = 1_000_000  # counted by a task before it passes them on
 SORTED_TOGETHER = 400_000  # suffixes of whole routes that are sorted in one go
