@@ -9,21 +9,17 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from echoloom.constants import MAX_TERMS, SPLIT_SEED
 from echoloom.functions.labels import decode_label, encode_label
 from echoloom.functions.text import normalize_for_scoring
+from echoloom.operators.boosting import GRADIENT, NEWTON, BoostedTrees
 from echoloom.operators.evaluate import eval_metrics
 from echoloom.operators.features import tfidf_model
+from echoloom.operators.pairwise import OneVsOneSVM
 from echoloom.operators.runs import FINISHED
 
 DEEPEST_TREE = 30  # the deepest tree Spark grows, used where no depth limit is asked for
@@ -56,22 +52,18 @@ def random_forest(rows: int, n_estimators: int = 100, max_depth: int | None = No
 def gradient_boosting(
     rows: int, n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 3
 ) -> Estimator:
-    """Boosted trees, one binary model per label."""
-    return OneVsRest(
-        classifier=GBTClassifier(
-            maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth, seed=SPLIT_SEED
-        ),
-        parallelism=3,
-    )
+    """Boosted trees on the shared softmax, one tree for each label and round."""
+    return BoostedTrees(kind=GRADIENT, rounds=n_estimators, rate=learning_rate, depth=max_depth)
 
 
-def linear_svm(rows: int, max_iter: int = 1000) -> Estimator:
-    return OneVsRest(classifier=LinearSVC(maxIter=max_iter, standardization=False), parallelism=3)
+def linear_svm(rows: int, max_iter: int = 1000, C: float = 0.0) -> Estimator:
+    """A linear machine for each pair of labels, with a vote; without ``C`` no penalty."""
+    return OneVsOneSVM(C=C, maxIter=max_iter)
 
 
 def deep_boosting(rows: int, n_estimators: int = 100, learning_rate: float = 0.3) -> Estimator:
-    """Boosted trees with the deeper defaults of the second boosting family."""
-    return gradient_boosting(rows, n_estimators, learning_rate, max_depth=6)
+    """Second-order boosted trees with the defaults of the second boosting family."""
+    return BoostedTrees(kind=NEWTON, rounds=n_estimators, rate=learning_rate, depth=6)
 
 
 FAMILIES: dict[str, Callable[..., Estimator]] = {

@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import functions as F
 
 from echoloom.constants import NOISE, UNCATEGORIZED
-from echoloom.operators import density, neighbours, split, topics, train
+from echoloom.operators import density, layout, neighbours, split, topics, train
 from echoloom.plans.analyze import analyze_apps as analyze
 from echoloom.plans.analyze import discover_topics
 from echoloom.registry.core import CLUSTERED, REVIEWS, query, words
@@ -79,6 +79,37 @@ def reduce_text(spark, sf_dir):
     return topics.reduce_dims(embedded, topics.fit_reducer(embedded)).select("review_id", "reduced")
 
 
+@query("reduce_layout")
+def reduce_layout(spark, sf_dir):
+    vectors = fixtures.table(spark, sf_dir, "embeddings")
+    return layout.layout(vectors, topics.REDUCED, key="vec_id").select(
+        "vec_id", F.size("reduced").alias("dimensions"), "reduced"
+    )
+
+
+@query(
+    "reduce_layout_facts",
+    """SELECT count(*) AS n, CAST(10 AS INT) AS fewest, CAST(10 AS INT) AS most, TRUE AS keeps_more FROM embeddings""",
+)
+def reduce_layout_facts(spark, sf_dir):
+    """The layout keeps more of each vector's nearest by cosine than the main axes do."""
+    vectors = fixtures.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    placed = materialize(layout.layout(vectors, topics.REDUCED, key="vec_id"), "placed")
+    axes = topics.reduce_dims(vectors, topics.fit_reducer(vectors), out="axes").select("vec_id", "axes")
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
+    units = vectors.withColumn("unit", F.transform("embedding", lambda x: x / length))
+
+    def near(df, column):
+        found = neighbours.knn_graph(df, layout.NEIGHBOURS, key="vec_id", vector=column)
+        return materialize(found.select("src", "dst"), "near")
+
+    true = near(units, "unit")
+    kept, mixed = (near(df, c).join(true, ["src", "dst"]).agg(F.count(F.lit(1))).scalar() for df, c in ((placed, "reduced"), (axes, "axes")))
+    return placed.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.size("reduced")).alias("fewest"), F.max(F.size("reduced")).alias("most")
+    ).select("*", (kept > mixed).alias("keeps_more"))
+
+
 @query("project_2d")
 def project_2d(spark, sf_dir):
     return topics.project_2d(fixtures.table(spark, sf_dir, "embeddings")).select(
@@ -148,16 +179,20 @@ def components_within(spark, sf_dir):
     return density.components_within(vectors, 1.1, 10, key="vec_id")
 
 
+def _clustered_texts(spark, sf_dir):
+    embedded = materialize(_embedded(spark, sf_dir).select("review_id", "embedding"), "embedded")
+    reduced = topics.reduce_dims(embedded, topics.fit_reducer(embedded)).select("review_id", "reduced")
+    return density.density_cluster(reduced, vector="reduced")
+
+
 @query(
     "density_cluster_facts",
-    """SELECT count(*) AS n, count(DISTINCT doc_id) AS reviews, CAST(0 AS BIGINT) AS too_small, TRUE AS numbered
+    """SELECT count(*) AS n, count(DISTINCT doc_id) AS reviews, CAST(0 AS BIGINT) AS too_small, TRUE AS numbered, TRUE AS several
     FROM documents""",
 )
 def density_cluster_facts(spark, sf_dir):
-    """Clusters of the text vectors: each review once, none below the least size, numbered 0, 1, ..."""
-    embedded = materialize(_embedded(spark, sf_dir).select("review_id", "embedding"), "embedded")
-    reduced = topics.reduce_dims(embedded, topics.fit_reducer(embedded)).select("review_id", "reduced")
-    found = materialize(density.density_cluster(reduced, vector="reduced"), "found")
+    """Clusters of the text vectors: each review once, none below the least size, at least two, numbered 0, 1, ..."""
+    found = materialize(_clustered_texts(spark, sf_dir), "found")
     size, _ = density.density_params(found.agg(F.count(F.lit(1))).scalar())
     clusters = found.filter(F.col("cluster") >= 0).groupBy("cluster").count()
     small = clusters.agg(F.count_if(F.col("count") < size)).scalar()
@@ -165,10 +200,19 @@ def density_cluster_facts(spark, sf_dir):
     return found.agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("review_id").alias("reviews")
     ).select(
-        "n", "reviews", small.alias("too_small"), clusters.agg(numbered).scalar().alias("numbered")
+        "n",
+        "reviews",
+        small.alias("too_small"),
+        clusters.agg(numbered).scalar().alias("numbered"),
+        (clusters.agg(F.count(F.lit(1))).scalar() >= 2).alias("several"),
     )
 
 
+@query("density_cluster_text")
+def density_cluster_text(spark, sf_dir):
+    return _clustered_texts(spark, sf_dir).select("review_id", "cluster")
+
+
 @query("density_cluster")
 def density_cluster(spark, sf_dir):
     vectors = fixtures.table(spark, sf_dir, "embeddings")
