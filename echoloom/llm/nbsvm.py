@@ -103,19 +103,20 @@ def fit(rows: list[np.ndarray], labels: list[int], rounds: int = ROUNDS) -> Line
     values = [ratio[f] / math.sqrt(max(1, len(f))) for f in rows]
     # Both classes cost the same in total.
     cost = np.where(y > 0, 0.5 * len(y) / positive, 0.5 * len(y) / (len(y) - positive)) * COST
-    own = np.array([(v**2).sum() + 1.0 for v in values]) + 0.5 / cost
+    own = np.array([(v**2).sum() + 1.0 for v in values])
     weights, bias, alpha = np.zeros(DIMENSIONS), 0.0, np.zeros(len(y))
     generator = np.random.default_rng(0)
     for _ in range(rounds):
         largest = 0.0
         for i in generator.permutation(len(y)):
             found, value = rows[i], values[i]
-            slope = y[i] * (weights[found] @ value + bias) - 1 + alpha[i] * 0.5 / cost[i]
-            if alpha[i] == 0 and slope >= 0:
+            slope = y[i] * (weights[found] @ value + bias) - 1
+            # At an end of its range a multiplier moves inwards only.
+            if (alpha[i] == 0 and slope >= 0) or (alpha[i] == cost[i] and slope <= 0):
                 continue
             largest = max(largest, abs(slope))
             before = alpha[i]
-            alpha[i] = max(0.0, before - slope / own[i])
+            alpha[i] = min(cost[i], max(0.0, before - slope / own[i]))
             step = (alpha[i] - before) * y[i]
             weights[found] += step * value
             bias += step
