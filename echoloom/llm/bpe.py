@@ -31,8 +31,9 @@ send_with_tasks(__name__)
 WORD_END = "</w>"
 # Moves the last character of a word, so that it differs from the same one inside a word.
 END_SHIFT = 0x10000
-# Bounds on what a worker remembers, each for one kind: stretches of text (two generations
-# of them), words, starts of words and pairs of tokens; and shortcuts between states.
+# Bounds on what a worker remembers: stretches of text (two generations of so many); words,
+# starts of words and pairs of tokens (so many of each); and shortcuts between states.
+MOST_CHUNKS = 200_000
 MOST_CACHED = 100_000
 MOST_SHORTCUTS = 100_000
 LONGEST_CACHED = 64  # bytes
@@ -97,8 +98,8 @@ class WordBpe:
         self._together: dict[int, bool] = {}
         self._words: dict[str, tuple[int, ...]] = {}
         self._prefixes: dict[str, tuple[int, list[int]]] = {}
-        self._chunks: dict[bytes, tuple[int, str, str]] = {}
-        self._older: dict[bytes, tuple[int, str, str]] = {}
+        self._chunks: dict[bytes, tuple[int, ...]] = {}
+        self._older: dict[bytes, tuple[int, ...]] = {}
         self._id_text = [str(i) for i in range(max(self.tokens) + 1)]
         self._token_text = [self.tokens.get(i, "") for i in range(max(self.tokens) + 1)]
 
@@ -161,7 +162,7 @@ class WordBpe:
         return following
 
     def remembered(self) -> int:
-        """Entries of all caches; never more than five times MOST_CACHED and MOST_SHORTCUTS."""
+        """Entries of all caches; never more than twice MOST_CHUNKS, three times MOST_CACHED and MOST_SHORTCUTS."""
         caches = (self._chunks, self._older, self._words, self._prefixes, self._together)
         return sum(map(len, caches)) + self._shortcuts
 
@@ -278,27 +279,26 @@ class WordBpe:
                 found.extend(self.encode_word(piece))
         return found
 
-    def chunk(self, chunk: bytes) -> tuple[int, str, str]:
-        """Number of tokens, ids and tokens of a stretch without ASCII space."""
+    def chunk(self, chunk: bytes) -> tuple[int, ...]:
+        """Ids of a stretch without ASCII space."""
         known = self._chunks.get(chunk)
         if known is not None:
             return known
         known = self._older.get(chunk)
         if known is None:
-            ids = self._encode_chunk(chunk.decode())
-            numbers, names = self._id_text, self._token_text
-            known = (
-                len(ids),
-                " ".join([numbers[i] for i in ids]),
-                " ".join([names[i] for i in ids]),
-            )
+            known = tuple(self._encode_chunk(chunk.decode()))
         if len(chunk) <= LONGEST_CACHED:
             # Two generations: what was used since the last turn survives the next.
-            if len(self._chunks) >= MOST_CACHED:
+            if len(self._chunks) >= MOST_CHUNKS:
                 self._older, self._chunks = self._chunks, {}
             self._chunks[chunk] = known
         return known
 
+    def texts(self, ids: list[int]) -> tuple[str, str]:
+        """Decimal ids and decoded text, each joined by spaces."""
+        numbers, names = self._id_text, self._token_text
+        return " ".join([numbers[i] for i in ids]), " ".join([names[i] for i in ids])
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text; space only ever separates, so the stretches between are independent."""
         return [i for chunk in text.encode().split() for i in self._encode_chunk(chunk.decode())]
@@ -358,8 +358,7 @@ def encoded_digests(
 
     Columns of ``docs`` named in ``carried`` follow as they are.
 
-    The ids and the decoded text of each stretch are remembered as text, so they
-    need not cross to the JVM.  Characters that Unicode added after the library's own
+    Ids and decoded text do not cross to the JVM.  Characters that Unicode added after the library's own
     tables may be cut differently.
     """
     shared = docs.sparkSession.sparkContext.broadcast(SharedBpe(vocabulary))
@@ -369,11 +368,10 @@ def encoded_digests(
         for batch in batches:
             counts, ids, decoded = [], [], []
             for value in batch.column(1).to_pylist():
-                made = [bpe.chunk(c) for c in (value or b"").split()]
-                made = [m for m in made if m[0]]
-                counts.append(sum([m[0] for m in made]))
-                for kept, place in ((ids, 1), (decoded, 2)):
-                    joined = " ".join([m[place] for m in made])
+                chunk = bpe.chunk
+                found = [i for c in (value or b"").split() for i in chunk(c)]
+                counts.append(len(found))
+                for kept, joined in zip((ids, decoded), bpe.texts(found)):
                     kept.append(hashlib.sha256(joined.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
