@@ -31,21 +31,28 @@ SEPARATOR = " | "
 
 @dataclass(frozen=True)
 class TextEmbedder:
-    """How many texts hold each word, as a stored table (term, documents), and all texts."""
+    """How many texts hold each word, as a stored table (term, documents), and all texts.
+
+    ``words`` is the stored (key, term, tf) of the rows it was fitted on, so that these
+    are not cut into words again.
+    """
 
     terms: DataFrame
     texts: int
     dimensions: int = DIMENSIONS
+    fitted_on: DataFrame | None = None
+    words: DataFrame | None = None
+    content: str = "content"
 
 
 def fit_embedder(
-    reviews: DataFrame, content: str = "content", dimensions: int = DIMENSIONS
+    reviews: DataFrame, content: str = "content", dimensions: int = DIMENSIONS, key: str = "review_id"
 ) -> TextEmbedder:
     """Document counts of every word; one aggregation, nothing of it on the driver."""
-    documents = reviews.filter(F.col(content).isNotNull())
-    terms = term_counts(documents, [], content).groupBy("term")
-    stored = materialize(terms.agg(F.count(F.lit(1)).alias("documents")), "terms")
-    return TextEmbedder(stored, documents.count(), dimensions)
+    words = materialize(term_counts(reviews, [key], content), "words")
+    stored = materialize(words.groupBy("term").agg(F.count(F.lit(1)).alias("documents")), "terms")
+    texts = reviews.filter(F.col(content).isNotNull()).count()
+    return TextEmbedder(stored, texts, dimensions, reviews, words, content)
 
 
 def embed_text(
@@ -63,8 +70,13 @@ def embed_text(
     words gets zeros.
     """
     width = embedder.dimensions
-    words = materialize(term_counts(reviews, [key], content), "words")
-    weighed = counted_lookup_join(words, embedder.terms, ["term"], [key])
+    if embedder.fitted_on is reviews and embedder.content == content and key in embedder.words.columns:
+        words = embedder.words
+    else:
+        words = materialize(term_counts(reviews, [key], content), "words")
+    # A word's texts tell how often it will be looked up.
+    terms = embedder.terms.withColumn("_uses", F.col("documents"))
+    weighed = counted_lookup_join(words, terms, ["term"], [key], "_uses")
     digest = F.md5("term")
     place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % width
     sign = F.when(F.substring(digest, 9, 1) < "8", 1.0).otherwise(-1.0)
