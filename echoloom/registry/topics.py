@@ -191,7 +191,7 @@ def _clustered_texts(spark, sf_dir):
     FROM documents""",
 )
 def density_cluster_facts(spark, sf_dir):
-    """Clusters of the text vectors: each review once, none below the least size, at least two, numbered 0, 1, ..."""
+    """Clusters of the text vectors: each review once, none below the least size, at least two in enough rows, numbered 0, 1, ..."""
     found = materialize(_clustered_texts(spark, sf_dir), "found")
     size, _ = density.density_params(found.agg(F.count(F.lit(1))).scalar())
     clusters = found.filter(F.col("cluster") >= 0).groupBy("cluster").count()
@@ -204,7 +204,8 @@ def density_cluster_facts(spark, sf_dir):
         "reviews",
         small.alias("too_small"),
         clusters.agg(numbered).scalar().alias("numbered"),
-        (clusters.agg(F.count(F.lit(1))).scalar() >= 2).alias("several"),
+        # Ten times the least size of a cluster can be expected to hold two.
+        ((clusters.agg(F.count(F.lit(1))).scalar() >= 2) | (F.col("n") < 10 * size)).alias("several"),
     )
 
 
