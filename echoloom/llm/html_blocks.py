@@ -3,22 +3,28 @@
 A page is cut into blocks of text.  The first pass classifies each block by its
 length, the density of stop words and of text inside links; the second gives
 blocks too short to tell the class of their nearest decided neighbours.
+
+Stop words are learned from the pages: of each language, or script where a page
+names none, the most widespread words that make up half of its running text.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
-from collections.abc import Iterator
+import unicodedata
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from echoloom.workspace import send_with_tasks
+from echoloom.operators.keyed import first_per_group
+from echoloom.workspace import materialize, send_with_tasks
 
 send_with_tasks(__name__)
 
@@ -26,6 +32,12 @@ send_with_tasks(__name__)
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.30, 0.32
 MOST_LINKS = 0.2
+# Stop words of a language: the most widespread ones up to this share of its words, at most so many.
+COVERED, MOST_STOP_WORDS = 0.5, 1000
+WORDS_HELD = 300_000  # distinct words a task counts before it passes them on
+LONGEST_WORD = 40
+# A letter of a script without spaces stands for about so many characters.
+WIDE = 3
 # Inside a marked article: share of characters, and blocks in a row that make a list of links.
 MOST_LINKS_INSIDE = 0.5
 LINK_LIST = 2
@@ -47,25 +59,20 @@ CLOSED_BY_SELF = frozenset("p li dt dd tr td th option".split())
 # Elements that such a start does not reach beyond.
 CONTAINERS = frozenset("ul ol dl table div".split()) | INSIDE
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# Words of class, id and role that mark what surrounds an article.
-SURROUNDINGS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|popup|modal|overlay"
-    r"|newsletter|subscri\w+|signup|login|nav\w*|menu\w*|breadcrumbs?|sidebar|side|widget\w*|footer|header"
-    r"|masthead|comments?|respond|disqus|replies|related|recommend\w*|share|sharing|social\w*|search\w*|toolbar"
-    r"|pagination|pager|skip|contentinfo|complementary|navigation|form)(?=$|[\s_-])",
-    re.IGNORECASE,
+# Words of class and id that mark what surrounds an article.
+SURE = re.compile(
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscri\w+"
+    r"|signup|login|nav|navbar|navigation|menus?|breadcrumbs?|sidebar|widgets?|footer|masthead|comments?|respond"
+    r"|disqus|replies|related|recommend\w*|sharing|social|toolbar|pagination|pager|contentinfo|complementary"
 )
-STOP_WORDS = frozenset(
-    # Frequent function words of English, French, German and Spanish.
-    "a an and are as at be but by for from had has have he her his i in is it its not of on or she that the "
-    "their there they this to was we were which who will with you "
-    "au aux avec ce ces dans de des du elle en est et il ils je la le les leur lui mais ne nous on ou par pas "
-    "plus pour qu que qui sa se ses son sur un une vous "
-    "als am auch auf aus bei bin das dass dem den der die ein eine einem einen einer er es fuer für hat ich im "
-    "ist mit nach nicht noch nur oder sich sie sind so und uns vom von vor war was wie wir zu zum zur über "
-    "al como con del el ella en entre era es esta este está fue ha hay la las lo los más mi muy no nos o para "
-    "pero por que se sin sobre son su sus también un una y ya".split()
+# Such words that stand for parts of an article as well.
+DOUBTFUL = re.compile(r"notice|side|header|share|search|form|skip|nav\w+|menu\w+|widget\w+|social\w+")
+# Words that name no content when they are joined to these.
+NEUTRAL = frozenset(
+    "site page main top bottom left right global primary secondary user reader post article entry list box bar "
+    "area block wrap wrapper container section inner outer links link item items row text body title unit slot".split()
 )
+ROLES = frozenset("banner navigation contentinfo complementary search form menu dialog".split())
 TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
@@ -76,7 +83,11 @@ CONCEALED = re.compile(
     r"(?:^|\s)hidden(?=$|[\s=/])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden",
     re.IGNORECASE,
 )
-WORD = re.compile(r"[^\W\d_]+")
+NO_SPACES = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+LETTER_WORD = re.compile(rf"[{NO_SPACES}]")
+# A word is a run of letters, in scripts without spaces a letter.
+WORD = re.compile(rf"[{NO_SPACES}]|(?:(?![{NO_SPACES}])[^\W\d_])+")
+LANGUAGE = re.compile(r"<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})(?![A-Za-z])", re.IGNORECASE)
 
 GOOD, BAD, SHORT_BLOCK, NEAR_GOOD = "good", "bad", "short", "near"
 
@@ -90,8 +101,7 @@ class Open(NamedTuple):
     inside: bool = False
     link: bool = False
     heading: bool = False
-
-
+    region: int = 0  # number of the innermost element that may be surroundings, 0: none
 
 @dataclass
 class Block:
@@ -102,7 +112,36 @@ class Block:
     inside: bool  # an article or main element
     outside: bool  # navigation, forms and the like
     heading: bool
+    region: int = 0
     verdict: str = field(default="")
+    words: list[str] = field(default_factory=list)
+    size: int = 0  # characters, letters of scripts without spaces counted several times
+
+    def __post_init__(self) -> None:
+        self.words = WORD.findall(self.text.lower())
+        self.size = len(self.text) + (WIDE - 1) * len(LETTER_WORD.findall(self.text))
+
+    @property
+    def links(self) -> float:
+        return min(1.0, self.linked / max(1, len(self.text)))
+
+
+@lru_cache(maxsize=10_000)
+def surroundings(names: str) -> str:
+    """What class and id words tell: surely surroundings, perhaps, or nothing.
+
+    A name is sure if all its parts mark surroundings or are neutral; a part of
+    another name (``promo-story``) or a doubtful word (``long-form``) leaves it open.
+    """
+    found = ""
+    for name in names.lower().split():
+        parts = [p for p in re.split(r"[_-]+", name) if p]
+        sure = [bool(SURE.fullmatch(p)) for p in parts]
+        if any(sure) and all(s or p in NEUTRAL for s, p in zip(sure, parts)):
+            return "sure"
+        if any(sure) or any(DOUBTFUL.fullmatch(p) for p in parts):
+            found = "perhaps"
+    return found
 
 
 def blocks(page: str) -> list[Block]:
@@ -112,6 +151,7 @@ def blocks(page: str) -> list[Block]:
     however deep its elements are nested.
     """
     found: list[Block] = []
+    regions = 0
     parts: list[str] = []
     linked = 0
     stack = [Open()]
@@ -122,7 +162,7 @@ def blocks(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             top = stack[-1]
-            found.append(Block(text, linked, top.inside, top.outside, top.heading))
+            found.append(Block(text, linked, top.inside, top.outside, top.heading, top.region))
         parts.clear()
         linked = 0
 
@@ -172,15 +212,21 @@ def blocks(page: str) -> list[Block]:
                 close(name)
         around = stack[-1]
         inside, outside = around.inside, around.outside
-        values = " ".join(v.strip("\"'") for _, v in ATTRIBUTE.findall(attributes))
+        region = around.region
         if name in INSIDE and not outside:
             inside = True
         elif name == "header" and inside:
             pass  # the article's own heading
         elif name in OUTSIDE:
             outside = True
-        if name not in ("html", "body", *INSIDE) and values and SURROUNDINGS.search(values):
-            outside = True
+        for kind, value in ATTRIBUTE.findall(attributes) if name not in ("html", "body", *INSIDE) else ():
+            value = value.strip("\"'")
+            told = surroundings(value) if kind.lower() != "role" else "sure" if value.lower() in ROLES else ""
+            if told == "sure":
+                outside = True
+            elif told:
+                regions += 1
+                region = regions
         hidden = around.hidden or name in HIDDEN or bool(CONCEALED.search(attributes))
         if name in RAW:
             # Its content is not markup; it ends at its own end tag only.
@@ -188,38 +234,88 @@ def blocks(page: str) -> list[Block]:
             at = end.end() if end else size
             continue
         link, heading = around.link or name == "a", around.heading or name in HEADINGS
-        stack.append(Open(name, hidden, outside, inside, link, heading))
+        stack.append(Open(name, hidden, outside, inside, link, heading, region))
         names[name] += 1
     end_block()
     return found
 
 
-def classify(block: Block, container: bool) -> str:
+StopWords = Mapping[str, tuple[str, ...]]  # word: the languages or scripts it is a stop word of
+
+
+def running(block: Block) -> bool:
+    """Whether stop words are learned from a block: long, with few links, not in surroundings."""
+    return not block.outside and block.size >= LONG and block.links <= MOST_LINKS
+
+
+def group_of(page: str, found: list[Block]) -> str:
+    """The language a page names, else the script of most letters in its blocks."""
+    named = LANGUAGE.search(page)
+    if named:
+        return named.group(1).lower()
+    scripts: Counter[str] = Counter()
+    for block in found:
+        for word in block.words:
+            scripts[unicodedata.name(word[0], "OTHER").split()[0]] += len(word)
+    return max(scripts, key=lambda s: (scripts[s], s)) if scripts else "OTHER"
+
+
+def most_widespread(spread: Mapping[str, int], uses: Mapping[str, int]) -> list[str]:
+    """Words by number of blocks, then by name, until they make up the share of all words."""
+    rest, kept = COVERED * sum(uses.values()), []
+    for word in sorted(spread, key=lambda w: (-spread[w], w))[:MOST_STOP_WORDS]:
+        if rest <= 0:
+            break
+        kept.append(word)
+        rest -= uses[word]
+    return kept
+
+
+def own_stop_words(found: list[Block]) -> StopWords:
+    """Stop words of one page alone."""
+    spread, uses = Counter(), Counter()
+    for block in filter(running, found):
+        spread.update(set(block.words))
+        uses.update(block.words)
+    return dict.fromkeys(most_widespread(spread, uses), ("page",))
+
+
+def language_words(found: list[Block], stop_words: StopWords) -> frozenset[str]:
+    """Stop words of the language that has the most of them in a page's blocks."""
+    words = Counter(w for b in found if not b.outside and b.links <= MOST_LINKS for w in b.words)
+    hits: Counter[str] = Counter()
+    for word, n in words.items():
+        for group in stop_words.get(word, ()):
+            hits[group] += n
+    if not hits:
+        return frozenset()
+    best = max(hits, key=lambda g: (hits[g], g))
+    return frozenset(w for w in words if best in stop_words.get(w, ()))
+
+
+def classify(block: Block, container: bool, stops: frozenset[str]) -> str:
     """First pass.  ``container`` tells that the page's article or main element counts as evidence.
 
-    Inside such an element a block needs no stop words to be good and may hold more
-    links; outside of it, and in pages without one, the rules of length and density hold.
+    Inside such an element half the density of stop words is enough and a block may
+    hold more links.
     """
     if block.outside:
         return BAD
-    size = len(block.text)
-    links = min(1.0, block.linked / size)
-    if container and block.inside:
-        if size < SHORT:
-            return SHORT_BLOCK
-        return GOOD if links <= MOST_LINKS else BAD if links > MOST_LINKS_INSIDE else NEAR_GOOD
-    if links > MOST_LINKS or "\N{COPYRIGHT SIGN}" in block.text[:20]:
+    eased = container and block.inside
+    if block.links > (MOST_LINKS_INSIDE if eased else MOST_LINKS):
+        return SHORT_BLOCK if eased and block.size < SHORT else BAD
+    if not eased and "\N{COPYRIGHT SIGN}" in block.text[:20]:
         return BAD
-    words = WORD.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-    if size < SHORT:
-        return BAD if block.linked else SHORT_BLOCK
-    if density >= STOP_HIGH:
-        return GOOD if size > LONG else NEAR_GOOD
-    return NEAR_GOOD if density >= STOP_LOW else BAD
+    if block.size < SHORT:
+        return BAD if block.linked and not eased else SHORT_BLOCK
+    density = sum(w in stops for w in block.words) / len(block.words) if block.words else 0.0
+    ease = 0.5 if eased else 1.0
+    if density >= ease * STOP_HIGH and block.links <= MOST_LINKS:
+        return GOOD if block.size > LONG or eased else NEAR_GOOD
+    return NEAR_GOOD if eased or density >= STOP_LOW else BAD
 
 
-def trusted(found: list[Block]) -> bool:
+def trusted(found: list[Block], stops: frozenset[str]) -> bool:
     """Whether the marked article holds the main text, or there is only a teaser in it.
 
     It does unless more good text by the plain rules lies outside of it than there is
@@ -228,8 +324,8 @@ def trusted(found: list[Block]) -> bool:
     within = [b for b in found if b.inside and not b.outside]
     if not within:
         return False
-    own = sum(len(b.text) for b in within if b.linked <= MOST_LINKS * len(b.text))
-    beyond = sum(len(b.text) for b in found if not b.inside and classify(b, False) == GOOD)
+    own = sum(b.size for b in within if b.links <= MOST_LINKS)
+    beyond = sum(b.size for b in found if not b.inside and classify(b, False, stops) == GOOD)
     return own >= beyond
 
 
@@ -246,39 +342,54 @@ def mark_link_lists(found: list[Block]) -> None:
         run = []
 
 
-def neighbours(row: list[Block], unknown: str) -> list[tuple[str, str]]:
-    """Verdicts of the nearest decided blocks before and after each, ``unknown`` where there is none."""
+def neighbours(row: list[Block], edge: str) -> list[tuple[str, str]]:
+    """Verdicts of the nearest decided blocks before and after each, at the end of the row ``edge``.
+
+    Without ``edge`` the other side counts for both, and a row of undecided blocks is good.
+    """
     sides = []
     for order in (row, row[::-1]):
-        last, side = unknown, []
+        last, side = edge, []
         for block in order:
             if block.verdict in (GOOD, BAD):
                 last = block.verdict
             side.append(last)
         sides.append(side)
-    return list(zip(sides[0], sides[1][::-1]))
+    return [(left or right or GOOD, right or left or GOOD) for left, right in zip(sides[0], sides[1][::-1])]
 
 
-def decide(found: list[Block]) -> list[bool]:
+def decide(found: list[Block], stop_words: StopWords | None = None) -> list[bool]:
     """Second pass: whether each block belongs to the main text.
 
     An undecided block takes the class of its nearest decided neighbours on
     both sides, within a marked article those inside it; where the two disagree
     a near-good block and a heading before good text are kept, and inside the
-    article any text that is neither a heading nor a link.
+    article any text that is neither a heading nor a link.  An element that may be
+    surroundings is, unless a good block lies in it.  In a page without good
+    blocks the near-good ones are good, and without these the long ones with few links.
+    Blocks in surroundings are no neighbours; at the edge of a page without a marked
+    article the other side decides.  Without ``stop_words`` those of the page
+    itself are taken.
     """
-    container = trusted(found)
+    stops = language_words(found, own_stop_words(found) if stop_words is None else stop_words)
+    dense = {b.region for b in found if classify(b, False, stops) == GOOD}
+    for block in found:
+        block.outside = block.outside or block.region > 0 and block.region not in dense
+    container = trusted(found, stops)
     for block in found:
-        block.verdict = classify(block, container)
+        block.verdict = classify(block, container, stops)
     if container:
         mark_link_lists(found)
+    elif all(b.verdict != GOOD for b in found):
+        near = any(b.verdict == NEAR_GOOD for b in found)
+        for block in found:
+            if block.verdict == NEAR_GOOD or not near and running(block):
+                block.verdict = GOOD
     within = [b for b in found if container and b.inside and not b.outside]
-    beyond = [b for b in found if not (container and b.inside and not b.outside)]
-    # Where nothing tells, a marked article and a page without decided blocks are kept.
-    unknown = GOOD if all(b.verdict not in (GOOD, BAD) for b in found) and not container else BAD
+    beyond = [b for b in found if not (b.outside or container and b.inside)]
     kept: dict[int, bool] = {}
-    for row, default in ((within, GOOD), (beyond, unknown)):
-        for block, (left, right) in zip(row, neighbours(row, default)):
+    for row, edge in ((within, GOOD), (beyond, BAD if container else "")):
+        for block, (left, right) in zip(row, neighbours(row, edge)):
             if block.verdict in (GOOD, BAD):
                 keep = block.verdict == GOOD
             elif left == right:
@@ -290,27 +401,98 @@ def decide(found: list[Block]) -> list[bool]:
             else:
                 keep = block.verdict == NEAR_GOOD
             kept[id(block)] = keep
-    return [kept[id(b)] for b in found]
+    return [kept.get(id(b), False) for b in found]
 
 
-def main_text(page: str | None) -> str:
+def main_text(page: str | None, stop_words: StopWords | None = None) -> str:
     """Kept blocks in page order, joined by one space; empty for a page without any."""
     found = blocks(page or "")
-    return " ".join(b.text for b, keep in zip(found, decide(found)) if keep)
+    return " ".join(b.text for b, keep in zip(found, decide(found, stop_words)) if keep)
+
+
+def learn_stop_words(pages: DataFrame, page: str = "html") -> DataFrame:
+    """(language, word): stop words of every language or script in the pages.
+
+    Long blocks with few links of all whole pages count, whatever element holds
+    them.  Tasks count the blocks and uses of each word and pass sums on, so a
+    frequent language is no hot group.  A language has at most MOST_STOP_WORDS
+    words; languages are the two or three letters that pages name, or names of scripts.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spread: Counter[tuple[str, str]] = Counter()
+        uses: Counter[tuple[str, str]] = Counter()
+
+        def counted() -> pa.RecordBatch:
+            keys = list(spread)
+            columns = [
+                pa.array([k[0] for k in keys], pa.string()),
+                pa.array([k[1] for k in keys], pa.string()),
+                pa.array([spread[k] for k in keys], pa.int64()),
+                pa.array([uses[k] for k in keys], pa.int64()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["language", "word", "spread", "uses"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found = [b for b in blocks(text or "") if running(b)]
+                group = group_of(text, found) if found else ""
+                for block in found:
+                    words = [(group, w) for w in block.words if len(w) <= LONGEST_WORD]
+                    uses.update(words)
+                    spread.update(set(words))
+                if len(spread) >= WORDS_HELD:
+                    yield counted()
+                    spread.clear()
+                    uses.clear()
+        yield counted()
+
+    kinds = "language string, word string, spread bigint, uses bigint"
+    counts = materialize(
+        pages.select(page)
+        .mapInArrow(scan, kinds)
+        .groupBy("language", "word")
+        .agg(F.sum("spread").alias("spread"), F.sum("uses").alias("uses")),
+        "stop_words",
+    )
+    # One row a language, joined to at most MOST_STOP_WORDS rows each.
+    totals = counts.groupBy("language").agg(F.sum("uses").alias("all_uses"))
+    first = first_per_group(counts, ["language"], [F.desc("spread"), F.col("word")], MOST_STOP_WORDS)
+    before = (
+        Window.partitionBy("language")
+        .orderBy(F.desc("spread"), "word")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        first.withColumn("before", F.coalesce(F.sum("uses").over(before), F.lit(0)))
+        .join(totals, "language")
+        .filter(F.col("before") < COVERED * F.col("all_uses"))
+        .select("language", "word")
+    )
+
+
+def read_stop_words(learned: DataFrame) -> StopWords:
+    """The learned words by word; their number is bounded by that of languages, not by the pages."""
+    groups: defaultdict[str, list[str]] = defaultdict(list)
+    for row in learned.collect():
+        groups[row["word"]].append(row["language"])
+    return {word: tuple(sorted(found)) for word, found in groups.items()}
 
 
 def extract_text(
     pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html"
 ) -> DataFrame:
-    """(key, url, text, n_chars) of every whole page, row by row.
+    """(key, url, text, n_chars) of every whole page, by stop words learned from all of them.
 
     Null and empty pages have an empty text.  Repeated rows give equal rows, an
-    empty table gives none; other columns are not carried.
+    empty table gives none; very long pages are read whole in time that grows with
+    them; other columns are not carried, whatever they are called.
     """
+    shared = pages.sparkSession.sparkContext.broadcast(read_stop_words(learn_stop_words(pages, page)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(p) for p in batch.column(2).to_pylist()]
+            texts = [main_text(p, shared.value) for p in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
