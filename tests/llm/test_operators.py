@@ -192,6 +192,27 @@ def test_machine_learns_a_pair():
     assert both - one - other + model.bias != 0
 
 
+@pytest.mark.parametrize("together", [True, False])
+def test_machine_learns_a_pair_of_neutral_words(together):
+    """Each word occurs as often in clean as in toxic texts; only the two of them tell."""
+    rng = random.Random(1)
+    rows, labels = [], []
+    for _ in range(2500):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append(np.array([1] * a + [2] * b + sorted(rng.sample(range(10, 2000), 40))))
+        labels.append(int((a == b) == together))
+    model = machine.fit(rows[:2000], labels[:2000])
+    right = [(model.margin(r) >= 0) == label for r, label in zip(rows[2000:], labels[2000:])]
+    assert sum(right) >= 0.95 * len(right)
+
+
+def test_pairs_without_more_than_their_terms_are_not_learned():
+    rng = random.Random(2)
+    rows = [np.array(sorted(rng.sample(range(1, 300), 30))) for _ in range(1000)]
+    y = np.array([int(1 in r) for r in rows])
+    assert not machine.interacting(rows + rows, np.concatenate([y, y]), np.arange(300)).any()
+
+
 def test_toxic_rows_go_with_their_columns_kept(odd):
     model = machine.FactorModel(
         np.array([zlib.crc32(b"same") % machine.DIMENSIONS]), np.array([9.0]), np.zeros((1, machine.FACTORS)), -1.0
