@@ -86,6 +86,7 @@ CONCEALED = re.compile(
 NO_SPACES = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 LETTER_WORD = re.compile(rf"[{NO_SPACES}]")
 # A word is a run of letters, in scripts without spaces a letter.
+PLAIN_WORD = re.compile(r"[^\W\d_]+")
 WORD = re.compile(rf"[{NO_SPACES}]|(?:(?![{NO_SPACES}])[^\W\d_])+")
 LANGUAGE = re.compile(r"<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})(?![A-Za-z])", re.IGNORECASE)
 
@@ -115,11 +116,13 @@ class Block:
     region: int = 0
     verdict: str = field(default="")
     words: list[str] = field(default_factory=list)
+    density: float = 0.0  # share of stop words, once these are known
     size: int = 0  # characters, letters of scripts without spaces counted several times
 
     def __post_init__(self) -> None:
-        self.words = WORD.findall(self.text.lower())
-        self.size = len(self.text) + (WIDE - 1) * len(LETTER_WORD.findall(self.text))
+        wide = 0 if self.text.isascii() else len(LETTER_WORD.findall(self.text))
+        self.words = (WORD if wide else PLAIN_WORD).findall(self.text.lower())
+        self.size = len(self.text) + (WIDE - 1) * wide
 
     @property
     def links(self) -> float:
@@ -159,7 +162,10 @@ def blocks(page: str) -> list[Block]:
 
     def end_block() -> None:
         nonlocal linked
-        text = " ".join(html.unescape("".join(parts)).split())
+        if not parts:
+            return
+        text = "".join(parts)
+        text = " ".join((html.unescape(text) if "&" in text else text).split())
         if text:
             top = stack[-1]
             found.append(Block(text, linked, top.inside, top.outside, top.heading, top.region))
@@ -282,7 +288,10 @@ def own_stop_words(found: list[Block]) -> StopWords:
 
 def language_words(found: list[Block], stop_words: StopWords) -> frozenset[str]:
     """Stop words of the language that has the most of them in a page's blocks."""
-    words = Counter(w for b in found if not b.outside and b.links <= MOST_LINKS for w in b.words)
+    words: Counter[str] = Counter()
+    for block in found:
+        if not block.outside and block.links <= MOST_LINKS:
+            words.update(block.words)
     hits: Counter[str] = Counter()
     for word, n in words.items():
         for group in stop_words.get(word, ()):
@@ -293,7 +302,7 @@ def language_words(found: list[Block], stop_words: StopWords) -> frozenset[str]:
     return frozenset(w for w in words if best in stop_words.get(w, ()))
 
 
-def classify(block: Block, container: bool, stops: frozenset[str]) -> str:
+def classify(block: Block, container: bool) -> str:
     """First pass.  ``container`` tells that the page's article or main element counts as evidence.
 
     Inside such an element half the density of stop words is enough and a block may
@@ -308,14 +317,14 @@ def classify(block: Block, container: bool, stops: frozenset[str]) -> str:
         return BAD
     if block.size < SHORT:
         return BAD if block.linked and not eased else SHORT_BLOCK
-    density = sum(w in stops for w in block.words) / len(block.words) if block.words else 0.0
+    density = block.density
     ease = 0.5 if eased else 1.0
     if density >= ease * STOP_HIGH and block.links <= MOST_LINKS:
         return GOOD if block.size > LONG or eased else NEAR_GOOD
     return NEAR_GOOD if eased or density >= STOP_LOW else BAD
 
 
-def trusted(found: list[Block], stops: frozenset[str]) -> bool:
+def trusted(found: list[Block]) -> bool:
     """Whether the marked article holds the main text, or there is only a teaser in it.
 
     It does unless more good text by the plain rules lies outside of it than there is
@@ -325,7 +334,7 @@ def trusted(found: list[Block], stops: frozenset[str]) -> bool:
     if not within:
         return False
     own = sum(b.size for b in within if b.links <= MOST_LINKS)
-    beyond = sum(b.size for b in found if not b.inside and classify(b, False, stops) == GOOD)
+    beyond = sum(b.size for b in found if not b.inside and classify(b, False) == GOOD)
     return own >= beyond
 
 
@@ -372,12 +381,14 @@ def decide(found: list[Block], stop_words: StopWords | None = None) -> list[bool
     itself are taken.
     """
     stops = language_words(found, own_stop_words(found) if stop_words is None else stop_words)
-    dense = {b.region for b in found if classify(b, False, stops) == GOOD}
+    for block in found:
+        block.density = sum(map(stops.__contains__, block.words)) / max(1, len(block.words))
+    dense = {b.region for b in found if classify(b, False) == GOOD}
     for block in found:
         block.outside = block.outside or block.region > 0 and block.region not in dense
-    container = trusted(found, stops)
+    container = trusted(found)
     for block in found:
-        block.verdict = classify(block, container, stops)
+        block.verdict = classify(block, container)
     if container:
         mark_link_lists(found)
     elif all(b.verdict != GOOD for b in found):
@@ -420,16 +431,16 @@ def learn_stop_words(pages: DataFrame, page: str = "html") -> DataFrame:
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spread: Counter[tuple[str, str]] = Counter()
-        uses: Counter[tuple[str, str]] = Counter()
+        spread: defaultdict[str, Counter[str]] = defaultdict(Counter)
+        uses: defaultdict[str, Counter[str]] = defaultdict(Counter)
 
         def counted() -> pa.RecordBatch:
-            keys = list(spread)
+            keys = [(g, w) for g, words in spread.items() for w in words if len(w) <= LONGEST_WORD]
             columns = [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array([k[1] for k in keys], pa.string()),
-                pa.array([spread[k] for k in keys], pa.int64()),
-                pa.array([uses[k] for k in keys], pa.int64()),
+                pa.array([g for g, _ in keys], pa.string()),
+                pa.array([w for _, w in keys], pa.string()),
+                pa.array([spread[g][w] for g, w in keys], pa.int64()),
+                pa.array([uses[g][w] for g, w in keys], pa.int64()),
             ]
             return pa.RecordBatch.from_arrays(columns, ["language", "word", "spread", "uses"])
 
@@ -438,10 +449,9 @@ def learn_stop_words(pages: DataFrame, page: str = "html") -> DataFrame:
                 found = [b for b in blocks(text or "") if running(b)]
                 group = group_of(text, found) if found else ""
                 for block in found:
-                    words = [(group, w) for w in block.words if len(w) <= LONGEST_WORD]
-                    uses.update(words)
-                    spread.update(set(words))
-                if len(spread) >= WORDS_HELD:
+                    uses[group].update(block.words)
+                    spread[group].update(set(block.words))
+                if sum(map(len, spread.values())) >= WORDS_HELD:
                     yield counted()
                     spread.clear()
                     uses.clear()
