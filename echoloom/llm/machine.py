@@ -233,10 +233,10 @@ def score_toxicity(
     Null texts count as empty; a text without known terms has the score of the
     bias alone.  Repeated rows get equal scores, an empty table gives none.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.numbers, model.weights, model.factors, model.bias))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, terms = shared.value, Terms()
+        model, terms = FactorModel(*shared.value), Terms()
         for batch in batches:
             margins = np.array(
                 [model.margin(hashed_terms(t or b"", terms)) for t in batch.column(1).to_pylist()]
@@ -258,11 +258,11 @@ def drop_toxic(docs: DataFrame, model: FactorModel, text: str = "text") -> DataF
     Every row is decided where it is read, by its own whole text, so nothing is
     shuffled and null or repeated keys need no care.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.numbers, model.weights, model.factors, model.bias))
     place = docs.columns.index(text)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, terms = shared.value, Terms()
+        model, terms = FactorModel(*shared.value), Terms()
         for batch in batches:
             clean = [
                 model.margin(hashed_terms((t or "").encode(), terms)) < 0
