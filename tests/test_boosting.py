@@ -137,3 +137,21 @@ def test_pairwise_votes_equal_a_plain_count(spark):
     assert found.filter("prediction = label").count() > 55
     one = pairwise.OneVsOneSVM(maxIter=2).fit(df.filter("label = 2")).transform(df)
     assert {r["prediction"] for r in one.collect()} == {2.0}
+
+
+def test_blocks_and_slices_grow_the_same_trees(spark, monkeypatch):
+    # Blocks of a few values, fewer features than slices, and rows without any value.
+    x, y = made_up(80, 9)
+    x[::7] = 0.0
+    df = frame(spark, x, y)
+    settings = {"kind": "newton", "rounds": 3, "rate": 0.4, "depth": 3}
+    one = boosting.BoostedTrees(**settings).fit(df).trees()
+    monkeypatch.setattr(boosting, "BLOCK_ENTRIES", 20)
+    stored, _, entries = boosting.binned_rows(df, "features", "label")
+    blocks = boosting.blocks_of(stored, entries, [0.0] * 3).collect()
+    assert sum(len(r["features"]) // 4 for r in blocks) == entries and max(len(r["features"]) for r in blocks) <= 4 * 26
+    assert sum(len(r["sizes"]) // 4 for r in blocks) == 80
+    many = boosting.BoostedTrees(localEntries=0, **settings).fit(df).trees()
+    for a, b in zip((t for r in one for t in r), (t for r in many for t in r), strict=True):
+        assert [n[:5] if len(n) > 1 else None for n in a] == [n[:5] if len(n) > 1 else None for n in b]
+        assert [n[0] for n in a] == pytest.approx([n[0] for n in b])
