@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from itertools import combinations
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, keyword_only
-from pyspark.ml import Estimator, PipelineModel
+from pyspark import StorageLevel, inheritable_thread_target, keyword_only
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+PARALLELISM = 3  # machines that are fitted at a time
+
 
 class OneVsOneSVM(Estimator):
     """A linear support vector machine for each pair of labels.
@@ -40,19 +43,29 @@ class OneVsOneSVM(Estimator):
         try:
             counts = {r["_label"]: r["count"] for r in rows.groupBy("_label").count().collect()}
             labels = sorted(counts)
-            machines, votes = [], {name: ["0"] for name in labels}
-            for low, high in combinations(labels, 2):
-                name = f"_vote{len(machines)}"
+            pairs = list(combinations(labels, 2))
+
+            def fit(pair: tuple[int, tuple[float, float]]) -> Model:
+                number, (low, high) = pair
                 machine = LinearSVC(
-                    featuresCol="_features", labelCol="_side", predictionCol=name, rawPredictionCol=f"_raw{len(machines)}",
+                    featuresCol="_features", labelCol="_side", predictionCol=f"_vote{number}", rawPredictionCol=f"_raw{number}",
                     maxIter=self.getOrDefault(self.maxIter), standardization=False,
                     regParam=1.0 / (C * (counts[low] + counts[high])) if C else 0.0,
                 )
-                pair = rows.filter(F.col("_label").isin(low, high))
                 side = F.when(F.col("_label") == high, 1.0).otherwise(0.0)
-                machines.append(machine.fit(pair.withColumn("_side", side)).setFeaturesCol(features))
-                votes[low].append(f"int({name} = 0)")
-                votes[high].append(f"int({name} = 1)")
+                seen = rows.filter(F.col("_label").isin(low, high)).withColumn("_side", side)
+                return machine.fit(seen).setFeaturesCol(features)
+
+            # A step of a machine is a short job, so the machines take their steps side by side.
+            pool = ThreadPool(max(1, min(PARALLELISM, len(pairs))))
+            try:
+                machines = pool.map(inheritable_thread_target(dataset.sparkSession)(fit), enumerate(pairs))
+            finally:
+                pool.close()
+            votes = {name: ["0"] for name in labels}
+            for number, (low, high) in enumerate(pairs):
+                votes[low].append(f"int(_vote{number} = 0)")
+                votes[high].append(f"int(_vote{number} = 1)")
         finally:
             rows.unpersist()
         sums = ", ".join(" + ".join(votes[name]) for name in labels)

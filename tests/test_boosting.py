@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from threading import Barrier
 
 import numpy as np
 import pytest
@@ -155,3 +156,19 @@ def test_blocks_and_slices_grow_the_same_trees(spark, monkeypatch):
     for a, b in zip((t for r in one for t in r), (t for r in many for t in r), strict=True):
         assert [n[:5] if len(n) > 1 else None for n in a] == [n[:5] if len(n) > 1 else None for n in b]
         assert [n[0] for n in a] == pytest.approx([n[0] for n in b])
+
+
+def test_machines_take_their_steps_side_by_side(spark, monkeypatch):
+    x, y = made_up(60, 3)
+    df = frame(spark, x, y)
+    together, fit = Barrier(3, timeout=60), pairwise.LinearSVC.fit
+
+    def waiting(self, *args):
+        together.wait()  # never passed by machines that are fitted one after the other
+        return fit(self, *args)
+
+    monkeypatch.setattr(pairwise.LinearSVC, "fit", waiting)
+    model = pairwise.OneVsOneSVM(C=1.0, maxIter=5).fit(df)
+    assert model.transform(df).select("prediction").count() == 60
+    names = [stage.getPredictionCol() for stage in model.stages[:3]]
+    assert names == ["_vote0", "_vote1", "_vote2"]
