@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PCA, Normalizer, StopWordsRemover
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from echoloom.constants import NOISE, UNCATEGORIZED
@@ -24,6 +26,7 @@ SAMPLE_TEXTS = 200
 KEYWORDS = 3
 DIVERSITY = 0.5
 SEPARATOR = " | "
+FIRST_TERMS = 200  # of a cluster, by score, that are tried for a place before all others
 
 
 # --- embedding ---------------------------------------------------------------
@@ -219,14 +222,11 @@ def keyword_candidates(
     )
     # Counted once; the tables below all derive from it.
     terms = materialize(terms, "terms")
-    overall = terms.groupBy(*by, "term").agg(
-        F.sum("uses").alias("_everywhere"), F.count(F.lit(1)).alias("_rows")
-    )
     per_cluster = terms.groupBy(*by, "cluster").agg(F.sum("uses").alias("_words"))
     mean = F.avg("_words").alias("_mean")
-    scored = counted_lookup_join(
-        terms, overall, [*by, "term"], ["cluster"], "_rows", how="inner"
-    )
+    # A term has one row for each cluster, so no group is larger than the number of clusters.
+    everywhere = F.sum("uses").over(Window.partitionBy(*by, "term"))
+    scored = terms.withColumn("_everywhere", everywhere)
     if by:
         # Stored, so that Spark knows its size and broadcasts it only when small.
         means = materialize(per_cluster.groupBy(*by).agg(mean), "means")
@@ -255,19 +255,41 @@ def diverse_keywords(
 ) -> DataFrame:
     """Keywords per cluster by maximal marginal relevance (Carbonell and Goldstein 1998).
 
-    Every term of a cluster competes for every place.  The picks, one row per
-    cluster, are joined to the terms, and the best gain is combined on the map
-    side; ties go to the higher score, then by term.
+    Every term of a cluster competes for every place; ties go to the higher score, then
+    by term.  The first terms by score are tried, and where they do not rule out the
+    others, all are.  The picks, one row per cluster, are joined to the terms, and the best
+    gain is combined on the map side.
     """
     keys = [*by, "cluster"]
-    terms = materialize(candidates.select(*keys, "term", "score"), "candidates")
+    order = [F.col("score").desc(), F.col("term")]
+    narrow = candidates.select(*keys, "term", "score")
+    first = materialize(first_per_group(narrow, keys, order, FIRST_TERMS), "candidates")
+    picks = materialize(_picked(first, keys, n, diversity), "picks")
+    unsure = materialize(picks.filter(~F.col("_sure")).select(*keys), "unsure")
+    if not unsure.isEmpty():
+        # Terms beyond the first may do better here, so all of them compete.
+        same = reduce(and_, (F.col(f"_{i}").eqNullSafe(F.col(c)) for i, c in enumerate(keys)))
+        named = unsure.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keys)))
+        whole = materialize(narrow.join(named, same, "left_semi"), "candidates")
+        picks = picks.filter("_sure").unionByName(_picked(whole, keys, n, diversity, None))
+    return picks.select(*keys, F.col("_picked").alias("keywords"))
+
+
+def _picked(terms: DataFrame, keys: list[str], n: int, diversity: float, most: int | None = FIRST_TERMS) -> DataFrame:
+    """(keys, _picked, _sure) from the stored first ``most`` terms of each cluster, or all of them.
+
+    A pick is sure if no term beyond the first can gain more: these score no higher than
+    the last of them, and none gains more than its share of the score.
+    """
     rows = F.count(F.lit(1)).alias("_rows")
     best = F.min(F.struct((-F.col("score")).alias("_score"), "term")).alias("_best")
-    picks = terms.groupBy(*keys).agg(best, rows).select(
+    picks = terms.groupBy(*keys).agg(best, rows, F.min("score").alias("_last")).select(
         *keys,
         "_rows",
+        "_last",
         (-F.col("_best._score")).alias("_top"),
         F.array("_best.term").alias("_picked"),
+        F.lit(True).alias("_sure"),
     )
     for _ in range(n - 1):
         joined = counted_lookup_join(
@@ -281,20 +303,24 @@ def diverse_keywords(
         )
         place = F.struct((-gain).alias("_gain"), (-F.col("score")).alias("_score"), "term")
         best = F.min(F.when(~F.array_contains("_picked", F.col("term")), place)).alias("_best")
+        beyond = F.round((1 - diversity) * F.col("_last") / F.col("_top"), 9)
+        sure = F.coalesce((F.col("_top") > 0) & (-F.col("_best._gain") >= beyond), F.lit(False))
         picks = (
             joined.withColumn("_words", _words(F.col("term")))
-            .groupBy(*keys, "_top", "_picked")
+            .groupBy(*keys, "_top", "_picked", "_last", "_sure")
             .agg(best, rows)
             .select(
                 *keys,
                 "_rows",
+                "_last",
                 "_top",
                 F.when(F.col("_best").isNull(), F.col("_picked"))
                 .otherwise(F.concat("_picked", F.array("_best.term")))
                 .alias("_picked"),
+                (F.col("_sure") & (sure if most is None else sure | (F.col("_rows") < most))).alias("_sure"),
             )
         )
-    return picks.select(*keys, F.col("_picked").alias("keywords"))
+    return picks.select(*keys, "_picked", F.lit(True).alias("_sure") if most is None else "_sure")
 
 
 def cluster_topics(
