@@ -3,8 +3,8 @@
 Both are bigram models over one vocabulary, smoothed alike, and the larger model's
 counts are scaled to the mass of the smaller one, so that smoothing weighs the same
 in both.  A document's score is the mean difference of its tokens' losses: the
-lower, the more it reads like the target.  Counts are exact and stay in tables that
-grow with the input; documents meet them in joins.
+lower, the more it reads like the target.  Counts are exact; documents meet them in
+slices of the words and pairs, whose number grows with the input.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from echoloom.llm.sampling import word_counts
-from echoloom.operators.keyed import counted_lookup_join
 from echoloom.workspace import materialize, send_with_tasks
 
 send_with_tasks(__name__)
@@ -29,17 +28,19 @@ LEAST_COUNT = 0.1  # of every word in a unigram model
 UNKNOWN, START = 0, 1
 TOKENS_HELD = 500_000  # counted in a task before they are passed on
 CHUNK_TOKENS = 500_000  # of the documents that are scored together
+SLICE_TOKENS = 1_000_000  # whose pairs and words are added up together
 
 
 @dataclass(frozen=True)
 class Models:
-    """Counts of both models for each pair of words, and their totals.
+    """What both models are counted from, and their sizes.
 
-    ``pairs`` has (pair, others, target) and with the suffixes ``_context`` and
-    ``_word`` the counts of the pair's context and word; ``words`` the vocabulary.
+    ``background`` and ``wanted`` hold the texts as ``_text``; ``words`` is the vocabulary,
+    ``others`` and ``target`` are the tokens of the background and the target.
     """
 
-    pairs: DataFrame
+    background: DataFrame
+    wanted: DataFrame
     words: DataFrame
     size: int
     others: int
@@ -71,6 +72,106 @@ def pair_numbers(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return contexts, (mixed ^ mixed >> np.uint64(32)).view(np.int64)
 
 
+@dataclass(frozen=True)
+class Counts:
+    """Distinct pairs and words of some tokens, sorted by their unsigned numbers, and their uses.
+
+    A word is counted as such and as a context.
+    """
+
+    pairs: np.ndarray
+    pair_uses: np.ndarray
+    words: np.ndarray
+    word_uses: np.ndarray
+    context_uses: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[np.ndarray]) -> Counts:
+        """Counts over texts that are given by their tokens' numbers."""
+        none = np.zeros(0, dtype=np.int64)
+        found = [pair_numbers(tokens) for tokens in texts]
+        tokens = np.concatenate([none, *texts]).view(np.uint64)
+        contexts = np.concatenate([none, *(c for c, _ in found)]).view(np.uint64)
+        pairs = np.concatenate([none, *(p for _, p in found)]).view(np.uint64)
+        pairs, pair_uses = np.unique(pairs, return_counts=True)
+        words, place = np.unique(np.concatenate([tokens, contexts]), return_inverse=True)
+        uses = (np.bincount(p, minlength=len(words)) for p in (place[: len(tokens)], place[len(tokens) :]))
+        return cls(pairs, pair_uses, words, *uses)
+
+    def ends(self, slices: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where each slice of the numbers begins among ``pairs`` and ``words``, and the last one ends."""
+        return tuple(
+            np.searchsorted((v >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32), np.arange(slices + 1))
+            for v in (self.pairs, self.words)
+        )
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Integers by byte planes: the leading bytes of sorted ones, and those of small ones, compress well."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
+
+
+SENT = ("pairs", "pair_uses", "words", "word_uses", "context_uses")
+SENT_KIND = "slice int, _chunk bigint, role int, " + ", ".join(f"{c} binary" for c in SENT)
+ANSWERED = ("pair_at", "pair_others", "pair_target", "word_at") + tuple(
+    f"{kind}_{name}" for kind in ("word", "context") for name in ("others", "target")
+)
+ANSWER_KIND = "_chunk bigint, slice int, " + ", ".join(f"{c} binary" for c in ANSWERED)
+# Who sends counts: documents to be scored that are the background's, or are not in the sums; the rest adds to them.
+SCORED, ASKING, TARGET, OTHERS = range(4)
+
+
+def sent_slices(counts: Counts, slices: int, chunk: int, role: int) -> pa.RecordBatch:
+    """The counts as one row for each slice of the numbers."""
+    pairs, words = counts.ends(slices)
+    rows = [i for i in range(slices) if pairs[i] < pairs[i + 1] or words[i] < words[i + 1]]
+    columns = [
+        pa.array([packed(values[ends[i] : ends[i + 1]]) for i in rows], pa.binary())
+        for values, ends in (
+            (counts.pairs, pairs), (counts.pair_uses, pairs),
+            (counts.words, words), (counts.word_uses, words), (counts.context_uses, words),
+        )
+    ]
+    heads = [pa.array(rows, pa.int32()), pa.array([chunk] * len(rows), pa.int64()), pa.array([role] * len(rows), pa.int32())]
+    return pa.RecordBatch.from_arrays([*heads, *columns], ["slice", "_chunk", "role", *SENT])
+
+
+def answers(table: pa.Table) -> pa.Table:
+    """For each chunk of a slice the sums of its pairs and words, where they are not the chunk's own."""
+    roles = table.column("role").to_numpy()
+    asking = np.flatnonzero((roles == SCORED) | (roles == ASKING))
+    columns: dict[str, list[bytes]] = {name: [] for name in ANSWERED}
+    for key, kinds in (("pair", ["pair"]), ("word", ["word", "context"])):
+        parts = [unpacked(x) for x in table.column(f"{key}s").to_pylist()]
+        ends = np.cumsum([0, *map(len, parts)])
+        sizes = np.diff(ends)
+        _, place = np.unique(np.concatenate(parts), return_inverse=True)
+        role = np.repeat(roles, sizes)
+        told = np.zeros(len(place), dtype=bool)
+        sums = {}
+        for kind in kinds:
+            uses = np.concatenate([unpacked(x) for x in table.column(f"{kind}_uses").to_pylist()]).astype(np.int64)
+            own = np.where(role == SCORED, uses, 0)
+            others = np.bincount(place, np.where((role == SCORED) | (role == OTHERS), uses, 0))[place].astype(np.int64)
+            target = np.bincount(place, np.where(role == TARGET, uses, 0))[place].astype(np.int64)
+            told |= (others != own) | (target != 0)
+            sums[kind] = others, target
+        for i in asking:
+            at = np.flatnonzero(told[ends[i] : ends[i + 1]])
+            columns[f"{key}_at"].append(packed(at))
+            for kind, (others, target) in sums.items():
+                columns[f"{kind}_others"].append(packed(others[ends[i] + at]))
+                columns[f"{kind}_target"].append(packed(target[ends[i] + at]))
+    heads = [table.column(c).take(pa.array(asking)) for c in ("_chunk", "slice")]
+    return pa.Table.from_arrays(
+        [*heads, *(pa.array(columns[c], pa.binary()) for c in ANSWERED)], ["_chunk", "slice", *ANSWERED]
+    )
+
+
 def fit_models(
     docs: DataFrame, target: DataFrame, text: str = "text", least_share: float = 0.0
 ) -> Models:
@@ -78,70 +179,17 @@ def fit_models(
 
     All words are in the vocabulary.  With a ``least_share`` only those with that
     share of all tokens, at most as many as it goes into one, which come to the driver.
-    Texts are not shuffled.
+    Pairs are counted where documents are scored, so that they are sent once.
     """
-    narrow = docs.select(F.col(text).cast("binary").alias("_text"), F.lit(False).alias("_target")).unionByName(
-        target.select(F.col(text).cast("binary").alias("_text"), F.lit(True).alias("_target"))
-    )
-    words = materialize(word_counts(narrow, "_text"), "words")
+    background, wanted = (df.select(F.col(text).cast("binary").alias("_text")) for df in (docs, target))
+    words = materialize(word_counts(background.unionByName(wanted), "_text"), "words")
+    total = words.agg(F.sum("n")).first()[0] or 0
     known = None
     if least_share > 0:
-        total = words.agg(F.sum("n")).first()[0] or 0
         words = words.filter(F.col("n") >= F.lit(least_share * total))
         known = frozenset(bytes(r["word"]) for r in words.collect())
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, bool]] = []
-        size = 0
-
-        def counted() -> pa.RecordBatch:
-            columns = [np.concatenate(c) for c in zip(*(h[:3] for h in held))] or [np.zeros(0, np.int64)] * 3
-            wanted = np.concatenate([np.full(len(h[0]), h[3]) for h in held] or [np.zeros(0, bool)])
-            pairs, first, place = np.unique(columns[0], return_index=True, return_inverse=True)
-            every = np.bincount(place, minlength=len(pairs))
-            ours = np.bincount(place[wanted], minlength=len(pairs))
-            held.clear()
-            values = (pairs, columns[1][first], columns[2][first], every - ours, ours)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v, pa.int64()) for v in values], ["pair", "context", "word", "others", "target"]
-            )
-
-        for batch in batches:
-            for value, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens = token_numbers(value or b"", known)
-                contexts, pairs = pair_numbers(tokens)
-                held.append((pairs, contexts, tokens, wanted))
-                size += len(tokens)
-                if size >= TOKENS_HELD:
-                    yield counted()
-                    size = 0
-        yield counted()
-
-    sums = [F.sum(c).alias(c) for c in ("others", "target")]
-    pairs = materialize(
-        narrow.mapInArrow(scan, "pair bigint, context bigint, word bigint, others bigint, target bigint")
-        .groupBy("pair")
-        .agg(F.min("context").alias("context"), F.min("word").alias("word"), *sums),
-        "pairs",
-    )
-    full = pairs
-    for part in ("word", "context"):
-        counts = pairs.groupBy(part).agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *(F.sum(c).alias(f"{c}_{part}") for c in ("others", "target")),
-        )
-        full = counted_lookup_join(
-            full, materialize(counts, part), [part], ["pair"], "_rows", how="inner"
-        )
-    totals = pairs.agg(*sums).first()
-    return Models(
-        materialize(full.drop("word", "context"), "model"),
-        words,
-        words.count() + 2,
-        totals["others"] or 0,
-        totals["target"] or 0,
-        known,
-    )
+    ours = word_counts(wanted, "_text").agg(F.sum("n")).first()[0] or 0
+    return Models(background, wanted, words, words.count() + 2, total - ours, ours, known)
 
 
 def losses(
@@ -168,51 +216,78 @@ def score_documents(
     off it.  Texts without words, null ones included, have no tokens and zeros.
     Repeated rows are kept and get equal scores; an empty table gives none.
 
-    Documents are dealt into chunks of about ``CHUNK_TOKENS``.  A chunk's distinct
-    pairs are joined to the counts, and the chunk is scored in one task.
+    Documents are dealt into chunks of about ``CHUNK_TOKENS``.  A chunk sends the counts of
+    its distinct pairs and words to the slices of their numbers, as arrays; a slice adds up
+    all chunks and the target and answers what differs from a chunk's own counts.
     """
     known, size = models.known, models.size
     totals = {"target": models.target, "others": models.others}
     least = min(max(1, n) for n in totals.values())
     chunks = max(1, -(-models.others // CHUNK_TOKENS))
+    slices = max(1, -(-(models.others + models.target) // SLICE_TOKENS))
+    # The background's own documents are counted as they are scored.
+    role = SCORED if docs.select(F.col(text).cast("binary").alias("_text")).sameSemantics(models.background) else ASKING
     narrow = docs.select(F.col(key).alias("_key"), F.col(text).cast("binary").alias("_text"))
     dealt = narrow.withColumn(
         "_chunk", F.pmod(F.xxhash64("_key", "_text"), F.lit(chunks).cast("bigint"))
     ).groupBy("_chunk")
 
-    def pairs_of(rows: pa.Table) -> pa.Table:
-        held, found = np.zeros(0, dtype=np.int64), []
-        for i, value in enumerate(rows.column("_text").to_pylist()):
-            found.append(np.unique(pair_numbers(token_numbers(value or b"", known))[1]))
-            if i % 256 == 255:
-                held, found = np.unique(np.concatenate([held, *found])), []
-        held = np.unique(np.concatenate([held, *found]))
-        chunk = np.full(len(held), rows.column("_chunk")[0].as_py(), dtype=np.int64)
-        return pa.table({"_chunk": chunk, "pair": held})
+    def tokens_of(rows: pa.Table) -> list[np.ndarray]:
+        return [token_numbers(value or b"", known) for value in rows.column("_text").to_pylist()]
+
+    def counted(rows: pa.Table) -> pa.Table:
+        chunk = rows.column("_chunk")[0].as_py()
+        return pa.Table.from_batches([sent_slices(Counts.of(tokens_of(rows)), slices, chunk, role)])
+
+    def scan(role: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
+            for batch in batches:
+                for value in batch.column(0).to_pylist():
+                    held.append(token_numbers(value or b"", known))
+                    size += len(held[-1])
+                    if size >= TOKENS_HELD:
+                        yield sent_slices(Counts.of(held), slices, -1, role)
+                        held, size = [], 0
+            yield sent_slices(Counts.of(held), slices, -1, role)
+
+        return run
 
     def own_counts(values: np.ndarray) -> np.ndarray:
         _, place, uses = np.unique(values, return_inverse=True, return_counts=True)
         return uses[place]
 
     def scored(rows: pa.Table, met: pa.Table) -> pa.Table:
-        pairs = met.column("pair").to_numpy()
-        order = np.argsort(pairs)
-        pairs = pairs[order]
-        tables = {
-            name: [met.column(c).to_numpy()[order] for c in (name, f"{name}_context", f"{name}_word")]
-            for name in totals
-        }
+        texts = tokens_of(rows)
+        counts = Counts.of(texts)
+        ends = dict(zip(("pair", "word"), counts.ends(slices)))
+        begun = {"pair": counts.pair_uses, "context": counts.context_uses, "word": counts.word_uses}
+        tables = {"target": {}, "others": {}}
+        for kind, uses in begun.items():
+            tables["target"][kind] = np.zeros(len(uses), dtype=np.int64)
+            tables["others"][kind] = uses.astype(np.int64) if role == SCORED else np.zeros(len(uses), dtype=np.int64)
+        for answer in met.to_pylist():
+            for kind in begun:
+                group = "pair" if kind == "pair" else "word"
+                at = ends[group][answer["slice"]] + unpacked(answer[f"{group}_at"]).astype(np.int64)
+                for name in totals:
+                    tables[name][kind][at] = unpacked(answer[f"{kind}_{name}"]).astype(np.int64)
         found = []
-        for value in rows.column("_text").to_pylist():
-            tokens = token_numbers(value or b"", known)
+        for tokens in texts:
             if not len(tokens):
                 found.append((0, 0.0, 0.0, 0.0))
                 continue
             contexts, numbers = pair_numbers(tokens)
-            at = np.searchsorted(pairs, numbers)
-            own = [own_counts(values) for values in (numbers, contexts, tokens)]
+            values = {"pair": numbers, "context": contexts, "word": tokens}
+            at = {
+                kind: np.searchsorted(counts.pairs if kind == "pair" else counts.words, v.view(np.uint64))
+                for kind, v in values.items()
+            }
+            own = [own_counts(v) for v in values.values()]
             near, far = (
-                losses(least / max(1, totals[name]), totals[name], size, [c[at] for c in tables[name]], off)
+                losses(
+                    least / max(1, totals[name]), totals[name], size, [tables[name][k][at[k]] for k in values], off
+                )
                 for name, off in (("target", None), ("others", own))
             )
             found.append((len(tokens), near.mean(), far.mean(), (near - far).mean()))
@@ -223,9 +298,10 @@ def score_documents(
             [key, "n_tokens", "target_loss", "background_loss", "difference"],
         )
 
-    keys = dealt.applyInArrow(pairs_of, "_chunk bigint, pair bigint")
-    rows = models.pairs.withColumn("_rows", F.least(F.col("others"), F.lit(chunks).cast("bigint")))
-    met = counted_lookup_join(keys, rows, ["pair"], ["_chunk"], "_rows", how="inner")
+    sent = dealt.applyInArrow(counted, SENT_KIND).unionByName(models.wanted.mapInArrow(scan(TARGET), SENT_KIND))
+    if role == ASKING:
+        sent = sent.unionByName(models.background.mapInArrow(scan(OTHERS), SENT_KIND))
+    met = sent.groupBy("slice").applyInArrow(answers, ANSWER_KIND)
     kind = docs.schema[key].dataType.simpleString()
     return dealt.cogroup(met.groupBy("_chunk")).applyInArrow(
         scored,
