@@ -7,8 +7,10 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from echoloom.operators import features, grams
+from echoloom.functions.text import CLEANING_RULES, SCORING_RULES, clean_text, normalize_for_scoring, tokenize
+from echoloom.operators import features, grams, train
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +66,68 @@ def test_most_used_terms_are_those_of_all_statistics(spark, monkeypatch, most, l
     assert features.vocabulary(grams.frequent_terms(words, "words", longest, most), most).collect() == wanted
     if most == 12:
         assert grams.frequent_terms(words, "words", longest, most).count() < statistics.count()
+
+
+def odd_texts():
+    rng = np.random.default_rng(5)
+    letters = [*map(chr, range(0x250)), *"a_1 " * 60, *"一𐐀😀𝐀١Ⅰ²〇\u0300İ\ufffd"]
+    made = ["".join(rng.choice(letters, size)) for size in rng.integers(0, 50, 300)]
+    codes = [i for i in range(0x80, 0x110000, 997) if not 0xD800 <= i < 0xE000]
+    return [*made, *(f"a{chr(i)}B {chr(i)}{chr(i)} {chr(i)}" for i in codes), None, "", "a", "ab", "é", "éé", "ab", "cd"]
+
+
+@pytest.mark.parametrize("piece", [1 << 22, 40])
+def test_words_cut_from_batches_are_those_of_the_pattern(spark, monkeypatch, piece):
+    monkeypatch.setattr(grams, "PIECE", piece)
+    numbered = spark.createDataFrame([*enumerate(odd_texts())], "n int, content string")
+    rows = numbered.select("n", F.lower("content").alias("low"), tokenize(F.col("content")).alias("words")).orderBy("n").collect()
+    texts = pa.array([None, *(r["low"] for r in rows)], pa.string())
+    wanted = [r["words"] or [] for r in rows]
+    assert grams.split_words(texts[1:], grams.word_characters(spark)).to_pylist() == wanted
+    assert grams.split_words(texts[:0], grams.word_characters(spark)).to_pylist() == []
+
+
+def test_texts_give_the_terms_of_their_words(spark):
+    """Words were cut by the pattern row by row and sent one by one, in each of four passes."""
+    docs = spark.createDataFrame([(t,) for t in odd_texts()] * 3, "content string").repartition(3)
+    low, lists = docs.select(F.lower("content").alias("words")), docs.select(tokenize(F.col("content")).alias("words"))
+    found, wanted = (features.vocabulary(grams.frequent_terms(x, "words", 2, 50), 50).collect() for x in (low, lists))
+    assert found == wanted
+    terms = [r["term"] for r in wanted]
+    counted = grams.TermCounts(inputCol="content", outputCol="counts", vocabulary=terms).transform(docs)
+    assert "regexp_extract_all" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    for row in counted.withColumn("words", tokenize(F.col("content"))).collect():
+        count = Counter(runs(row["words"], 2))
+        assert dict(zip(row["counts"].indices, row["counts"].values)) == {i: count[t] for i, t in enumerate(terms) if count[t]}
+
+
+def test_rules_skip_only_texts_they_do_not_change(spark):
+    """Every rule searched every text, with a new text made each time."""
+    texts = ["a <b>c</b>  d", "<a\nb>", "<a <b> c>", "wwwx y", "ww w http", "http://a b", "HTTP://a", " a\t\nb ", "", None, "plain, 12 text!"]
+    docs = spark.createDataFrame([(t,) for t in texts], "content string")
+
+    def plainly(text, rules):
+        for rule in rules:
+            text = F.regexp_replace(text, *map(F.lit, rule))
+        return F.trim(text)
+
+    content = F.col("content")
+    pairs = ((clean_text(content), plainly(content, CLEANING_RULES)), (normalize_for_scoring(content), plainly(F.lower(content), SCORING_RULES)))
+    for found, wanted in pairs:
+        assert docs.filter(~found.eqNullSafe(wanted)).collect() == []
+        assert "contains" in docs.select(found)._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_a_regression_does_not_pass_over_small_files_one_by_one(spark, monkeypatch):
+    """Each of its some hundred passes started a task for every part of the stored split."""
+
+    class Counting:
+        def fit(self, rows):
+            return rows.rdd.getNumPartitions()
+
+    monkeypatch.setitem(train.FAMILIES, "LogisticRegression", lambda rows, **params: Counting())
+    monkeypatch.setattr(train, "PACKED_ROWS", 50)
+    small = spark.range(0, 600, 1, 40)
+    assert train._fit("LogisticRegression", small, 600, {}) == 12
+    assert train._fit("LogisticRegression", small, 100, {}) == spark.sparkContext.defaultParallelism
+    assert train._fit("LogisticRegression", spark.range(0, 600, 1, 3), 600, {}) == 3
