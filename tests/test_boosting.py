@@ -172,3 +172,23 @@ def test_machines_take_their_steps_side_by_side(spark, monkeypatch):
     assert model.transform(df).select("prediction").count() == 60
     names = [stage.getPredictionCol() for stage in model.stages[:3]]
     assert names == ["_vote0", "_vote1", "_vote2"]
+
+
+def test_chunks_of_features_find_the_cuts_of_all(monkeypatch):
+    rng = np.random.default_rng(8)
+    present = rng.random((50, 9)) < 0.4
+    row, feature = np.nonzero(present)
+    bins = rng.integers(1, 5, len(row))
+    g, h = rng.normal(size=50), rng.uniform(0.5, 1, 50)
+    node = rng.integers(-1, 3, 50)  # -1: closed
+    for kind in ("gradient", "newton"):
+        rules = boosting.Rules(kind, 3, 0.1, 3)
+        state = boosting.open_state(node, [0, 1, 2], g, h)
+        assert state[0] == pytest.approx(np.array([[g[node == i].sum(), h[node == i].sum(), (node == i).sum()] for i in range(3)]))
+        whole = boosting.Columns(feature, bins, row).best_cuts(rules, [state, state])
+        assert whole[0] == whole[1] and all(whole[0])
+        monkeypatch.setattr(boosting, "CHUNK_ENTRIES", 7)
+        assert len(list(boosting.Columns(feature, bins, row).chunks())) > 3
+        assert boosting.Columns(feature, bins, row).best_cuts(rules, [state]) == whole[:1]
+        monkeypatch.undo()
+        assert boosting.Columns(feature[:0], bins[:0], row[:0]).best_cuts(rules, [state]) == [[None] * 3]
